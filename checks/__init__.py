@@ -1,0 +1 @@
+"""Registered queries, their SQL twins, and the comparison of both."""

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from checks import monitoring
+from checks import jobs, monitoring
 
-_FAMILIES = [monitoring]
+_FAMILIES = [monitoring, jobs]
 
 QUERIES = {name: query for family in _FAMILIES for name, query in family.QUERIES.items()}
 ORACLES = {name: sql for family in _FAMILIES for name, sql in family.ORACLES.items()}

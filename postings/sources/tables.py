@@ -29,7 +29,7 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 
 def _append_log(df: DataFrame, path: str, schema: T.StructType) -> None:
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    rows.withColumn("day", F.to_date("created_at")).write.mode("append").partitionBy("day").parquet(path)
+    rows.withColumn("day", F.to_date("created_at")).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
 
 
 def append_error_logs(df: DataFrame, path: str) -> None:

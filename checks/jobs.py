@@ -66,15 +66,25 @@ def e09(spark, sf):
     return N.normalize_with_fallback(flagged).select("page", "pos", "title", "job_url", "company", "warning")
 
 
-def e10(spark, sf):
+def _finalized(spark, sf):
     deduped = N.normalize_and_dedupe(raw_jobs(spark, sf))
-    paged = deduped.withColumns({
+    return N.finalize_job_urls(deduped.withColumns({
         "source_url": F.expr("CASE WHEN page % 3 = 0 THEN '' ELSE 'https://host' || CAST(page AS STRING) || '.example.com/careers/list' END"),
         "domain": F.expr("CASE WHEN page % 6 = 0 THEN '' ELSE 'alt' || CAST(page AS STRING) || '.example.com' END"),
-    })
-    done, incomplete = N.finalize_job_urls(paged)
-    left = incomplete.groupBy("page").agg(F.count(F.lit(1)).alias("n_incomplete"))
-    return done.select("page", "pos", "job_url").join(left, "page", "left")
+    }))
+
+
+def e10(spark, sf):
+    return _finalized(spark, sf)[0].select("page", "pos", "job_url")
+
+
+def e10b(spark, sf):
+    return _finalized(spark, sf)[1].select("page", "pos", "job_url")
+
+
+def e10c(spark, sf):
+    """Missing and relative URLs among raw postings."""
+    return incomplete_urls(raw_jobs(spark, sf)).select("page", "pos", "job_url")
 
 
 def f01(spark, sf):
@@ -234,15 +244,10 @@ def k04(spark, sf):
     return K.clean_description(table(spark, sf, "pages"), "html").select("page_id", "job_description")
 
 
-def e10b(spark, sf):
-    """Incomplete URLs among raw postings."""
-    return incomplete_urls(raw_jobs(spark, sf)).select("page", "pos", "job_url")
-
-
 QUERIES = {
     "e01_normalize_whitespace": e01, "e02_normalize_seniority": e02, "e03_omit_empty": e03, "e04_canonical_location": e04,
     "e05_job_signature": e05, "e06_richness_score": e06, "e07_dedupe_jobs": e07, "e08_dedupe_stats": e08,
-    "e09_normalize_fallback": e09, "e10a_finalize_job_urls": e10, "e10b_incomplete_urls": e10b,
+    "e09_normalize_fallback": e09, "e10a_finalize_job_urls": e10, "e10b_finalize_report": e10b, "e10c_incomplete_urls": e10c,
     "f01_parse_posted_date": f01, "f02_parse_relative_date": f02, "f03_filter_recent": f03, "f04_format_dates": f04,
     "f05_resolve_posted_date": f05,
     "g02a_validate_jobs": g02, "g02b_rejected_to_errors": g02b, "g03_validate_page_strict": g03, "g04_apply_job_defaults": g04,
@@ -315,6 +320,10 @@ def _rules_sql(text: str, rules, default: str) -> str:
 _DROP_TAGS = "(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<noscript\\b.*?</noscript\\s*>|<template\\b.*?</template\\s*>"
 _SENIORITY = _rules_sql("lower(title)", K.SENIORITY_RULES, "mid")
 
+_FINAL = _CLEAN + """, done AS (SELECT page, pos, CASE WHEN job_url IS NULL THEN NULL
+  WHEN page % 3 <> 0 THEN 'https://host' || page || '.example.com' || job_url WHEN page % 6 <> 0 THEN 'https://alt' || page || '.example.com' || job_url
+  ELSE job_url END AS job_url FROM deduped_jobs)"""
+
 ORACLES = {
     "e01_normalize_whitespace": _RAW + f"""
 SELECT page, pos, {_squash('title')} AS title, {_squash('company')} AS company, {_squash('employment_type')} AS employment_type,
@@ -336,11 +345,9 @@ FROM signed_jobs GROUP BY page""",
     "e09_normalize_fallback": _CLEAN + f""", bad AS (SELECT DISTINCT l_suppkey AS page FROM lineitem WHERE {_RARE})
 SELECT page, pos, title, job_url, company, NULL AS warning FROM deduped_jobs WHERE page NOT IN (SELECT page FROM bad)
 UNION ALL SELECT page, pos, title, job_url, company, 'normalize_error' FROM raw_jobs WHERE page IN (SELECT page FROM bad)""",
-    "e10a_finalize_job_urls": _CLEAN + """, done AS (SELECT page, pos, CASE WHEN job_url IS NULL THEN NULL
-  WHEN page % 3 <> 0 THEN 'https://host' || page || '.example.com' || job_url WHEN page % 6 <> 0 THEN 'https://alt' || page || '.example.com' || job_url
-  ELSE job_url END AS job_url FROM deduped_jobs)
-SELECT page, pos, job_url, nullif(count(*) FILTER (WHERE NOT starts_with(job_url, 'http')) OVER (PARTITION BY page), 0) AS n_incomplete FROM done""",
-    "e10b_incomplete_urls": _RAW + " SELECT page, pos, job_url FROM raw_jobs WHERE coalesce(NOT starts_with(job_url, 'http'), TRUE)",
+    "e10a_finalize_job_urls": _FINAL + " SELECT page, pos, job_url FROM done",
+    "e10b_finalize_report": _FINAL + " SELECT page, pos, job_url FROM done WHERE NOT starts_with(job_url, 'http')",
+    "e10c_incomplete_urls": _RAW + " SELECT page, pos, job_url FROM raw_jobs WHERE coalesce(NOT starts_with(job_url, 'http'), TRUE)",
     "f01_parse_posted_date": _RAW + f" SELECT page, pos, date_posted, {_TRY} AS posted_at FROM raw_jobs",
     "f02_parse_relative_date": f"SELECT l_orderkey, l_linenumber, phrase, {_relative_sql('phrase')} AS posted_at FROM (SELECT l_orderkey, l_linenumber, {_RELATIVE} AS phrase FROM lineitem) q",
     "f03_filter_recent": f"SELECT event_id, ts FROM events WHERE {AS_OF_SQL} - INTERVAL '3 days' - ts <= INTERVAL '10 days'",

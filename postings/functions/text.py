@@ -9,8 +9,12 @@ import unicodedata
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Unicode white space plus the four separator controls; \s alone is ASCII-only on the JVM.
-WS = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
+# Unicode white space and the four separator controls; \s alone is ASCII-only on the JVM.
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def squash(col: Column) -> Column:
@@ -20,7 +24,7 @@ def squash(col: Column) -> Column:
 
 def strip(col: Column) -> Column:
     """Drop leading and trailing white space of any kind."""
-    return F.regexp_replace(col, rf"^{WS}+|{WS}+\z", "")
+    return F.btrim(col, F.lit(WS_CHARS))
 
 
 def blank_to_null(col: Column) -> Column:

@@ -3,6 +3,8 @@ scheme production); everything else is string and array functions, so links neve
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,53 +20,49 @@ TRACKING_PARAMS = [
 HOST_SCHEMES = ["", "http", "https", "ftp", "file", "sftp", "ws", "wss"]
 
 
-def _clean(url: Column) -> Column:
-    # Tabs and line breaks inside a URL are ignored, as are leading controls and blanks.
-    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once and use it as often as ``body`` likes."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def scheme_of(url: Column) -> Column:
-    return F.lower(F.regexp_extract(_clean(url), URL_PARTS, 1))
+def _parts(url: Column) -> Column:
+    """The five parts of a URL, "" where absent, from one match."""
+    # Tabs and line breaks inside a URL are ignored, as are leading controls and blanks.
+    clean = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+    return F.split(F.regexp_replace(clean, URL_PARTS, "$1\x01$2\x01$3\x01$4\x01$5"), "\x01")
 
 
-def authority_of(url: Column) -> Column:
-    """Host and port as written; "" when there is none."""
-    return F.regexp_extract(_clean(url), URL_PARTS, 2)
-
+def _scheme(parts: Column) -> Column:
+    return F.lower(parts[0])
 
-def path_of(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), URL_PARTS, 3)
 
+def _splittable(parts: Column) -> Column:
+    # An authority with an unbalanced bracket is the one form that cannot be split.
+    return parts[1].contains("[") == parts[1].contains("]")
 
-def query_of(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), URL_PARTS, 4)
 
+def authority_of(url: Column) -> Column:
+    """Host and port as written; "" when there is none."""
+    return _parts(url)[1]
 
-def fragment_of(url: Column) -> Column:
-    return F.regexp_extract(_clean(url), URL_PARTS, 5)
 
+def path_of(url: Column) -> Column:
+    return _parts(url)[2]
 
-def is_splittable(url: Column) -> Column:
-    """False for an authority with an unbalanced bracket, the one form that cannot be split."""
-    host = authority_of(url)
-    return host.contains("[") == host.contains("]")
 
+def _assemble(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
+    def rooted(p: Column) -> Column:
+        slash = F.when((p != "") & ~p.startswith("/"), F.lit("/")).otherwise(F.lit(""))
+        return (
+            F.when(authority != "", F.concat(F.lit("//"), authority, slash, p))
+            .when((scheme != "") & scheme.isin(HOST_SCHEMES) & ((p == "") | p.startswith("/")), F.concat(F.lit("//"), p))
+            .otherwise(p)
+        )
 
-def assemble(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
-    rooted = F.when(
-        authority != "",
-        F.concat(
-            F.lit("//"), authority,
-            F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit("")), path,
-        ),
-    ).when(
-        (scheme != "") & scheme.isin(HOST_SCHEMES) & ((path == "") | path.startswith("/")),
-        F.concat(F.lit("//"), path),
-    ).otherwise(path)
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        rooted,
-        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
+        _let(path, rooted),
+        _let(query, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))),
         F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")),
     )
 
@@ -78,39 +76,42 @@ def _resolve_dots(segments: Column) -> Column:
         .when(part == ".", done)
         .otherwise(F.array_append(done, part)),
     )
-    folder = F.element_at(segments, -1).isin(".", "..")
-    return F.array_join(F.when(folder, F.array_append(kept, F.lit(""))).otherwise(kept), "/")
+    tail = F.when(F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    return F.array_join(F.concat(kept, tail), "/")
+
+
+def _without_dots(path: Column) -> Column:
+    return _let(path, lambda p: F.when(p.rlike(DOT_SEGMENT), _let(F.split(p, "/"), _resolve_dots)).otherwise(p))
 
 
 def _join_path(base_path: Column, path: Column) -> Column:
-    absolute = F.when(path.rlike(DOT_SEGMENT), _resolve_dots(F.split(path, "/"))).otherwise(path)
     folder = F.regexp_replace(base_path, r"[^/]*\z", "")
     # Inner empty segments of a merged path vanish, the leading one (a rooted base) stays.
-    merged = F.regexp_replace(F.concat(folder, path), "(?<!^)/{2,}", "/")
-    merged = F.regexp_replace(merged, "^/{2,}", "/")
-    relative = F.when(merged.rlike(DOT_SEGMENT), _resolve_dots(F.split(merged, "/"))).otherwise(merged)
-    joined = F.when(path.startswith("/"), absolute).otherwise(relative)
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
+    merged = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
+    joined = F.when(path.startswith("/"), _without_dots(path)).otherwise(_without_dots(merged))
+    return _let(joined, lambda j: F.when(j == "", F.lit("/")).otherwise(j))
+
+
+def _joined(href: Column, b: Column, h: Column) -> Column:
+    scheme = F.when(h[0] == "", _scheme(b)).otherwise(_scheme(h))
+    query = F.when(h[3] != "", h[3]).otherwise(b[3])
+
+    def by_scheme(own: Column) -> Column:
+        return (
+            F.when((own != _scheme(b)) | ~own.isin(HOST_SCHEMES), href)
+            .when(h[1] != "", _assemble(own, h[1], h[2], h[3], h[4]))
+            .when(h[2] == "", _assemble(own, b[1], b[2], query, h[4]))
+            .otherwise(_assemble(own, b[1], _join_path(b[2], h[2]), h[3], h[4]))
+        )
+
+    return F.when(_splittable(b) & _splittable(h), _let(scheme, by_scheme))
 
 
 def resolve(base: Column, href: Column) -> Column:
     """Reference resolution of ``href`` against ``base``; NULL when either cannot be split."""
-    base_scheme, scheme = scheme_of(base), scheme_of(href)
-    own_scheme = F.when(scheme == "", base_scheme).otherwise(scheme)
-    authority, path = authority_of(href), path_of(href)
-    query, fragment = query_of(href), fragment_of(href)
-    same_path = F.when(query != "", query).otherwise(query_of(base))
-    joined = (
-        F.when((own_scheme != base_scheme) | ~own_scheme.isin(HOST_SCHEMES), href)
-        .when(authority != "", assemble(own_scheme, authority, path, query, fragment))
-        .when(path == "", assemble(own_scheme, authority_of(base), path_of(base), same_path, fragment))
-        .otherwise(assemble(own_scheme, authority_of(base), _join_path(path_of(base), path), query, fragment))
-    )
-    return (
-        F.when(base.isNull() | (base == ""), href)
-        .when(href == "", base)
-        .when(is_splittable(base) & is_splittable(href), joined)
-    )
+    pair = F.struct(_parts(base).alias("base"), _parts(href).alias("href"))
+    joined = _let(pair, lambda p: _joined(href, p["base"], p["href"]))
+    return F.when(base.isNull() | (base == ""), href).when(href == "", base).otherwise(joined)
 
 
 def _form_decode(text: Column) -> Column:
@@ -139,10 +140,11 @@ def without_tracking(query: Column) -> Column:
 
 def normalized(url: Column) -> Column:
     """Lower-case scheme and authority, drop tracking parameters and the fragment."""
-    rebuilt = assemble(
-        scheme_of(url), F.lower(authority_of(url)), path_of(url), without_tracking(query_of(url)), F.lit(""),
-    )
-    return F.when(is_splittable(url), rebuilt)
+    def rebuilt(p: Column) -> Column:
+        text = _assemble(_scheme(p), F.lower(p[1]), p[2], without_tracking(p[3]), F.lit(""))
+        return F.when(_splittable(p), text)
+
+    return _let(_parts(url), rebuilt)
 
 
 def canonical(base: Column, href: Column) -> Column:
@@ -152,30 +154,33 @@ def canonical(base: Column, href: Column) -> Column:
 
 def absolute_job_url(job_url: Column, source_url: Column, domain: Column) -> Column:
     """Absolute form of a posting's URL; query and fragment are left alone."""
-    trimmed = strip(job_url)
-    is_http = trimmed.startswith("http://") | trimmed.startswith("https://")
     site = F.when(
         domain.startswith("http://") | domain.startswith("https://"), domain,
     ).otherwise(F.concat(F.lit("https://"), domain))
-    by_source = resolve(source_url, trimmed)
-    by_domain = F.when(domain != "", resolve(site, trimmed))
-    return (
-        F.when(job_url.isNull() | (job_url == ""), F.lit(None).cast("string"))
-        .when(is_http, trimmed)
-        .when(source_url != "", F.coalesce(by_source, by_domain, trimmed))
-        .otherwise(F.coalesce(by_domain, trimmed))
-    )
+    # The page's URL wins; the domain is the base where it is missing or cannot be split.
+    by_domain = lambda u: F.coalesce(F.when(domain != "", resolve(site, u)), u)
+
+    def absolute(u: Column) -> Column:
+        return (
+            F.when(u.startswith("http://") | u.startswith("https://"), u)
+            .when(source_url != "", F.coalesce(resolve(source_url, u), by_domain(u)))
+            .otherwise(by_domain(u))
+        )
+
+    return F.when(job_url != "", _let(strip(job_url), absolute))
 
 
 def is_valid(url: Column) -> Column:
     """http(s) with an authority; False (never NULL) otherwise."""
     text = strip(url)
     http = text.startswith("http://") | text.startswith("https://")
-    return F.coalesce(http & (authority_of(text) != "") & is_splittable(text), F.lit(False))
+    split = _let(_parts(text), lambda p: (p[1] != "") & _splittable(p))
+    return F.coalesce(http & split, F.lit(False))
 
 
 def is_absolute(url: Column) -> Column:
-    return F.coalesce((scheme_of(url) != "") & (authority_of(url) != "") & is_splittable(url), F.lit(False))
+    split = _let(_parts(url), lambda p: (p[0] != "") & (p[1] != "") & _splittable(p))
+    return F.coalesce(split, F.lit(False))
 
 
 def company_name(domain: Column) -> Column:
@@ -186,11 +191,8 @@ def company_name(domain: Column) -> Column:
         label = F.replace(label, F.lit(word), F.lit(""))
 
     name = title_case(squash(F.translate(label, "-_", "  ")))
-    return (
-        F.when(domain.isNull() | (domain == ""), F.lit("Unknown"))
-        .when(name == "", domain)
-        .otherwise(name)
-    )
+    return F.when(domain.isNull() | (domain == ""), F.lit("Unknown")).otherwise(
+        F.coalesce(F.nullif(name, F.lit("")), domain))
 
 
 def last_segment_slug(url: Column, fallback: str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from postings.functions import urls as U
 from postings.functions.text import blank_to_null, squash, strip
-from postings.schemas import JOB_TEXT_FIELDS, RICHNESS_FIELDS, SENIORITY_BUCKETS
+from postings.schemas import JOB_TEXT_FIELDS, RICHNESS_FIELDS
 
 # Raw bucket names and the bucket each belongs to.
 SENIORITY_ALIASES = {
@@ -79,11 +79,9 @@ def omit_empty(jobs: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 
 def seniority_bucket(raw: Column) -> Column:
-    key = F.lower(strip(raw))
-    out = F.when(key.isin(SENIORITY_BUCKETS), key)
-    for bucket, aliases in SENIORITY_ALIASES.items():
-        out = out.when(key.isin(aliases), F.lit(bucket))
-    return out.otherwise(F.lit("unknown"))
+    names = {alias: bucket for bucket, aliases in SENIORITY_ALIASES.items() for alias in [bucket, *aliases]}
+    lookup = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+    return F.coalesce(lookup[F.lower(strip(raw))], F.lit("unknown"))
 
 
 def normalize_seniority(jobs: DataFrame) -> DataFrame:
@@ -119,15 +117,18 @@ def _joined(items: Column) -> Column:
 
 def job_signature(jobs: DataFrame, out: str = "sig") -> DataFrame:
     """Identity of a posting: its URL, else its requisition id, else title and location."""
-    def part(name: str) -> Column:
-        return F.lower(F.coalesce(squash(F.col(name)), F.lit("")))
-
-    return jobs.withColumn(
-        out,
-        F.when(part("job_url") != "", F.concat(F.lit("url::"), part("job_url")))
-        .when(part("requisition_id") != "", F.concat(F.lit("rid::"), part("requisition_id")))
-        .otherwise(F.concat(F.lit("tl::"), part("title"), F.lit("@@"), part("location"))),
-    )
+    def tagged(tag: str, name: str) -> Column:
+        # NULL unless the field holds something, so that each is looked at once.
+        return F.concat(F.lit(tag), F.nullif(F.lower(squash(F.col(name))), F.lit("")))
+
+    def text(name: str) -> Column:
+        return F.coalesce(F.lower(squash(F.col(name))), F.lit(""))
+
+    return jobs.withColumn(out, F.coalesce(
+        tagged("url::", "job_url"),
+        tagged("rid::", "requisition_id"),
+        F.concat(F.lit("tl::"), text("title"), F.lit("@@"), text("location")),
+    ))
 
 
 def richness_score(jobs: DataFrame, out: str = "score") -> DataFrame:

@@ -407,7 +407,7 @@ def detect_jobs_present(
 
 
 def _collapsed(markup: Column) -> Column:
-    wide = WS[:-1] + r"\x{feff}]"
+    wide = WS[:-1] + r"\x{feff}]"  # the byte-order mark counts as white space in HTML
     return F.regexp_replace(F.regexp_replace(markup, wide + "{2,}", " "), f">{wide}+<", "><")
 
 

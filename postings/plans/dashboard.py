@@ -116,4 +116,6 @@ CSV_COLUMNS = ["created_at", "domain", "component", "stage", "error_type", "seve
 
 
 def export_errors_csv(errors: DataFrame, path: str) -> None:
-    errors.select(*CSV_COLUMNS).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Write the fixed columns with a header line; times keep their microseconds."""
+    stamped = errors.select(*CSV_COLUMNS).withColumn("created_at", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
+    stamped.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

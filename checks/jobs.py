@@ -63,7 +63,7 @@ def e08(spark, sf):
 
 def e09(spark, sf):
     flagged = raw_jobs(spark, sf, F.expr(_RARE).alias("failed"))
-    return N.normalize_with_fallback(flagged).select("page", "pos", "title", "job_url", "company", "warning")
+    return N.normalize_with_fallback(flagged, failed="failed").select("page", "pos", "title", "job_url", "company", "warning")
 
 
 def _finalized(spark, sf):

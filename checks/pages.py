@@ -212,7 +212,7 @@ def d07(spark, sf):
     from postings.operators.normalize import canonical_location
 
     return canonical_location(typed).select("page", "pos", "title", "job_url", "company", "weekly_hours", "location",
-                                            F.array_join("type_errors", ",").alias("type_errors"), "failed")
+                                            F.array_join("type_errors", ",").alias("type_errors"), "page_failed")
 
 
 def d07b(spark, sf):
@@ -258,7 +258,8 @@ _ANCHORS = """anchors AS (SELECT page_id, url, CAST(generate_subscripts(a, 1) -
   regexp_extract(unnest(a), '>(.*)</a>', 1) AS label FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="[^"]*">.*?</a>') AS a FROM pages) q)"""
 _LINK_HITS = f"""{_ANCHORS}, hits AS (SELECT page_id, url, i, href, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM anchors
   WHERE regexp_matches(href, '{_PATTERN}') OR regexp_matches(label, '{_PATTERN}'))"""
-_KEYWORDS = P.KEYWORDS
+# The parsed title has its entities resolved.
+_PLAIN_BASE = _BASE.replace(_TITLE, f"replace({_TITLE}, '&amp;', '&')")
 _REQUEST = ("'Extract all jobs.' || chr(10) || chr(10) || 'Return compact JSON on a single line if possible.' || chr(10) || chr(10) || '=== HTML START ===' || chr(10) "
             "|| {} || chr(10) || '=== HTML END ===' || chr(10)")
 _RESP = f"responses AS (SELECT p_partkey AS page, {_RESPONSE} AS response, p_name, p_type, p_brand, p_size FROM part)"
@@ -301,7 +302,7 @@ ORACLES |= {
   '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<noscript\\b.*?</noscript\\s*>|<template\\b.*?</template\\s*>', '', 'g'), '(?is)^\\s*<!doctype[^>]*>', ''),
   '[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]{2,}', ' ', 'g'), '>[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]+<', '><', 'g') AS lite_html FROM pages""",
     "c11b_ignored_nodes": "SELECT page_id, 'div' AS tag, 'ad' AS elem_id FROM pages WHERE regexp_matches(url, '/(en|de)/')",
-    "c12_crawl_manifest": f"""WITH caps AS (SELECT lower({_HOST}) AS domain, {_BASE} AS seed_base, page_id, page_id * 60 AS ts,
+    "c12_crawl_manifest": f"""WITH caps AS (SELECT lower({_HOST}) AS domain, {_PLAIN_BASE} AS seed_base, page_id, page_id * 60 AS ts,
   len(regexp_extract_all(html, '<li>')) + len(regexp_extract_all(html, '<article>')) AS n FROM pages)
 SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' ELSE 'expansion' END AS mode, CASE WHEN bool_or(page_id % 2 = 0) THEN 'no_next' ELSE 'none' END AS stop_reason,
   max(ts) AS ts, string_agg(page_id || ':' || n, ',' ORDER BY page_id) AS pages FROM caps GROUP BY domain, seed_base""",
@@ -310,7 +311,7 @@ SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' E
     "d02_extract_with_model": f"""SELECT page_id, CASE WHEN n % 5 <> 0 THEN '{{"jobs": [], "chars": ' || n || '}}' END AS response, CAST(CASE WHEN n % 5 = 0 THEN 3 ELSE 1 END AS INT) AS attempts,
   CASE WHEN n % 5 = 0 THEN 'busy' END AS error FROM (SELECT page_id, length({_REQUEST.format('html')}) AS n FROM pages) q""",
     "d03_sanitize_json_text": f"""WITH {_RESP} SELECT page, trim(regexp_replace(regexp_replace(translate(regexp_replace(trim(response), '(?i)^```(?:json)?\\s*|\\s*```$', '', 'g'),
-  '‘’“”«»', '''''""""'), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), ',(\\s*[\\]}}])', '\\1', 'g'), ' ' || chr(10)) AS response FROM responses""",
+  '‘’“”«»', repeat(chr(39), 2) || repeat(chr(34), 4)), '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F]', '', 'g'), ',(\\s*[\\]}}])', '\\1', 'g'), ' ' || chr(10)) AS response FROM responses""",
     "d04_decode_json_robust": f"""WITH {_RESP} SELECT page, CASE page % 9 WHEN 0 THEN 'strict' WHEN 1 THEN 'sanitized' WHEN 2 THEN 'sanitized' WHEN 3 THEN 'slice' WHEN 4 THEN 'slice'
   WHEN 5 THEN 'quarantine' WHEN 6 THEN 'sanitized' WHEN 7 THEN 'lenient' ELSE 'strict' END AS strategy, CASE WHEN {_OK} THEN p_name END AS first_title FROM responses""",
     "d05_repair_failed_json": f"WITH {_RESP} SELECT page, NOT contains(response, 'green') AS fixed FROM responses WHERE page % 9 = 5",
@@ -320,7 +321,7 @@ SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' E
     "d06b_json_error_rows": f"WITH {_RESP} SELECT 'given.example.com' AS domain, 'json_error' AS error_type, 'parse_json' AS stage, CAST(length(response) AS VARCHAR) AS n, p_brand AS page_title FROM responses WHERE page % 9 = 5",
     "d07a_explode_jobs": f"""WITH {_RESP}, rows AS (SELECT *, unnest([0, 1, 3]) AS pos FROM responses WHERE {_OK})
 SELECT page, pos, CASE pos WHEN 0 THEN p_name WHEN 1 THEN ' ' || p_name || ' ' ELSE p_type END AS title, CASE pos WHEN 0 THEN '/jobs/' || page WHEN 1 THEN '/JOBS/' || page END AS job_url,
-  CASE pos WHEN 1 THEN p_brand END AS company, CASE pos WHEN 1 THEN CAST(p_size AS VARCHAR) END AS weekly_hours, CASE pos WHEN 3 THEN 'A, B C' END AS location, '' AS type_errors, false AS failed FROM rows""",
+  CASE pos WHEN 1 THEN p_brand END AS company, CASE pos WHEN 1 THEN CAST(p_size AS VARCHAR) END AS weekly_hours, CASE pos WHEN 3 THEN 'A, B C' END AS location, '' AS type_errors, false AS page_failed FROM rows""",
     "d07b_skipped_entries": f"WITH {_RESP} SELECT page, CAST(CASE WHEN {_OK} THEN 1 ELSE 0 END AS BIGINT) AS skipped FROM responses",
     "g01_validate_pages": f"""SELECT lower({_HOST}) AS domain, url, CASE WHEN page_id % 4 IN (1, 2) THEN 'invalid page: jobs' ELSE 'ok' END AS message,
   CASE page_id % 4 WHEN 1 THEN '2' WHEN 2 THEN '0' END AS jobs_count FROM pages""",

@@ -6,6 +6,8 @@ import functools
 import re
 import unicodedata
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,6 +19,11 @@ WS_CHARS = (
 WS = r"[\t-\r\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Evaluate ``value`` once per row and use it as often as ``body`` likes."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def squash(col: Column) -> Column:
     """Collapse every run of white space to one space and trim."""
     return F.trim(F.regexp_replace(col, WS + "+", " "))

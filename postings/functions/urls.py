@@ -3,12 +3,10 @@ scheme production); everything else is string and array functions, so links neve
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from postings.functions.text import slug, squash, strip, title_case
+from postings.functions.text import let, slug, squash, strip, title_case
 
 URL_PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?\z"
 DOT_SEGMENT = r"(^|/)\.\.?(/|\z)"
@@ -20,11 +18,6 @@ TRACKING_PARAMS = [
 HOST_SCHEMES = ["", "http", "https", "ftp", "file", "sftp", "ws", "wss"]
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it as often as ``body`` likes."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def _parts(url: Column) -> Column:
     """The five parts of a URL, "" where absent, from one match."""
     # Tabs and line breaks inside a URL are ignored, as are leading controls and blanks.
@@ -51,18 +44,15 @@ def path_of(url: Column) -> Column:
 
 
 def _assemble(scheme: Column, authority: Column, path: Column, query: Column, fragment: Column) -> Column:
-    def rooted(p: Column) -> Column:
-        slash = F.when((p != "") & ~p.startswith("/"), F.lit("/")).otherwise(F.lit(""))
-        return (
-            F.when(authority != "", F.concat(F.lit("//"), authority, slash, p))
-            .when((scheme != "") & scheme.isin(HOST_SCHEMES) & ((p == "") | p.startswith("/")), F.concat(F.lit("//"), p))
-            .otherwise(p)
-        )
-
+    """Put the parts together; every argument should be cheap to read more than once."""
+    slash = F.when((path != "") & ~path.startswith("/"), F.lit("/")).otherwise(F.lit(""))
+    # Without a host, schemes that usually have one still show the empty authority.
+    hostless = F.when(scheme.isin(HOST_SCHEMES) & (scheme != "") & path.rlike(r"^(/|\z)"), F.lit("//")).otherwise(F.lit(""))
     return F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(F.lit("")),
-        _let(path, rooted),
-        _let(query, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))),
+        F.when(authority != "", F.concat(F.lit("//"), authority, slash)).otherwise(hostless),
+        path,
+        F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")),
         F.when(fragment != "", F.concat(F.lit("#"), fragment)).otherwise(F.lit("")),
     )
 
@@ -80,37 +70,37 @@ def _resolve_dots(segments: Column) -> Column:
     return F.array_join(F.concat(kept, tail), "/")
 
 
-def _without_dots(path: Column) -> Column:
-    return _let(path, lambda p: F.when(p.rlike(DOT_SEGMENT), _let(F.split(p, "/"), _resolve_dots)).otherwise(p))
-
-
 def _join_path(base_path: Column, path: Column) -> Column:
-    folder = F.regexp_replace(base_path, r"[^/]*\z", "")
     # Inner empty segments of a merged path vanish, the leading one (a rooted base) stays.
-    merged = F.regexp_replace(F.concat(folder, path), "/{2,}", "/")
-    joined = F.when(path.startswith("/"), _without_dots(path)).otherwise(_without_dots(merged))
-    return _let(joined, lambda j: F.when(j == "", F.lit("/")).otherwise(j))
+    merged = F.regexp_replace(F.concat(F.regexp_replace(base_path, r"[^/]*\z", ""), path), "/{2,}", "/")
+    joined = let(
+        F.when(path.startswith("/"), path).otherwise(merged),
+        lambda p: F.when(p.rlike(DOT_SEGMENT), let(F.split(p, "/"), _resolve_dots)).otherwise(p),
+    )
+    return F.coalesce(F.nullif(joined, F.lit("")), F.lit("/"))
 
 
 def _joined(href: Column, b: Column, h: Column) -> Column:
-    scheme = F.when(h[0] == "", _scheme(b)).otherwise(_scheme(h))
-    query = F.when(h[3] != "", h[3]).otherwise(b[3])
+    own = F.coalesce(F.nullif(_scheme(h), F.lit("")), _scheme(b))
 
-    def by_scheme(own: Column) -> Column:
-        return (
-            F.when((own != _scheme(b)) | ~own.isin(HOST_SCHEMES), href)
-            .when(h[1] != "", _assemble(own, h[1], h[2], h[3], h[4]))
-            .when(h[2] == "", _assemble(own, b[1], b[2], query, h[4]))
-            .otherwise(_assemble(own, b[1], _join_path(b[2], h[2]), h[3], h[4]))
-        )
+    def target(authority: Column, path: Column, query: Column) -> Column:
+        return F.struct(authority.alias("authority"), path.alias("path"), query.alias("query"), own.alias("scheme"))
 
-    return F.when(_splittable(b) & _splittable(h), _let(scheme, by_scheme))
+    parts = (
+        F.when((h[1] != "") | (own != _scheme(b)), target(h[1], h[2], h[3]))
+        .when(h[2] == "", target(b[1], b[2], F.coalesce(F.nullif(h[3], F.lit("")), b[3])))
+        .otherwise(target(b[1], _join_path(b[2], h[2]), h[3]))
+    )
+    joined = let(parts, lambda t: F.when(
+        (t["scheme"] != _scheme(b)) | ~t["scheme"].isin(HOST_SCHEMES), href,
+    ).otherwise(_assemble(t["scheme"], t["authority"], t["path"], t["query"], h[4])))
+    return F.when(_splittable(b) & _splittable(h), joined)
 
 
 def resolve(base: Column, href: Column) -> Column:
     """Reference resolution of ``href`` against ``base``; NULL when either cannot be split."""
     pair = F.struct(_parts(base).alias("base"), _parts(href).alias("href"))
-    joined = _let(pair, lambda p: _joined(href, p["base"], p["href"]))
+    joined = let(pair, lambda p: _joined(href, p["base"], p["href"]))
     return F.when(base.isNull() | (base == ""), href).when(href == "", base).otherwise(joined)
 
 
@@ -141,10 +131,11 @@ def without_tracking(query: Column) -> Column:
 def normalized(url: Column) -> Column:
     """Lower-case scheme and authority, drop tracking parameters and the fragment."""
     def rebuilt(p: Column) -> Column:
-        text = _assemble(_scheme(p), F.lower(p[1]), p[2], without_tracking(p[3]), F.lit(""))
+        kept = F.struct(_scheme(p).alias("scheme"), F.lower(p[1]).alias("authority"), without_tracking(p[3]).alias("query"))
+        text = let(kept, lambda k: _assemble(k["scheme"], k["authority"], p[2], k["query"], F.lit("")))
         return F.when(_splittable(p), text)
 
-    return _let(_parts(url), rebuilt)
+    return let(_parts(url), rebuilt)
 
 
 def canonical(base: Column, href: Column) -> Column:
@@ -154,32 +145,28 @@ def canonical(base: Column, href: Column) -> Column:
 
 def absolute_job_url(job_url: Column, source_url: Column, domain: Column) -> Column:
     """Absolute form of a posting's URL; query and fragment are left alone."""
-    site = F.when(
-        domain.startswith("http://") | domain.startswith("https://"), domain,
-    ).otherwise(F.concat(F.lit("https://"), domain))
-    # The page's URL wins; the domain is the base where it is missing or cannot be split.
-    by_domain = lambda u: F.coalesce(F.when(domain != "", resolve(site, u)), u)
+    site = F.when(domain.rlike("^https?://"), domain).when(domain != "", F.concat(F.lit("https://"), domain))
+    # The page's URL is the base; the domain where it is missing or cannot be split.
+    base = F.when((source_url != "") & _splittable(_parts(source_url)), source_url).otherwise(site)
 
-    def absolute(u: Column) -> Column:
-        return (
-            F.when(u.startswith("http://") | u.startswith("https://"), u)
-            .when(source_url != "", F.coalesce(resolve(source_url, u), by_domain(u)))
-            .otherwise(by_domain(u))
-        )
+    def absolute(p: Column) -> Column:
+        joined = F.when(p["base"].isNotNull(), resolve(p["base"], p["url"]))
+        return F.when(p["url"].rlike("^https?://"), p["url"]).otherwise(F.coalesce(joined, p["url"]))
 
-    return F.when(job_url != "", _let(strip(job_url), absolute))
+    pair = F.struct(strip(job_url).alias("url"), base.alias("base"))
+    return F.when(job_url != "", let(pair, absolute))
 
 
 def is_valid(url: Column) -> Column:
     """http(s) with an authority; False (never NULL) otherwise."""
     text = strip(url)
     http = text.startswith("http://") | text.startswith("https://")
-    split = _let(_parts(text), lambda p: (p[1] != "") & _splittable(p))
+    split = let(_parts(text), lambda p: (p[1] != "") & _splittable(p))
     return F.coalesce(http & split, F.lit(False))
 
 
 def is_absolute(url: Column) -> Column:
-    split = _let(_parts(url), lambda p: (p[0] != "") & (p[1] != "") & _splittable(p))
+    split = let(_parts(url), lambda p: (p[0] != "") & (p[1] != "") & _splittable(p))
     return F.coalesce(split, F.lit(False))
 
 

@@ -205,12 +205,27 @@ def finalize_job_urls(jobs: DataFrame, source_url: str = "source_url", domain: s
 
 
 def normalize_with_fallback(
-    jobs: DataFrame, page: str | Sequence[str] = "page", pos: str = "pos", failed: str = "failed",
+    jobs: DataFrame, page: str | Sequence[str] = "page", pos: str = "pos", failed: str | None = None,
 ) -> DataFrame:
     """Like :func:`normalize_and_dedupe`, but a page holding a posting that cannot be normalised
-    (``failed`` is TRUE) keeps its raw postings, marked with a ``warning``."""
+    keeps its raw postings, marked with a ``warning``.
+
+    The page's fate is read from ``page_failed``; where only postings carry a flag (``failed``) it
+    is worked out first. Both kinds of pages go through one pass: raw postings get a signature of
+    their own, so that none is merged.
+    """
     keys = [page] if isinstance(page, str) else list(page)
-    bad = jobs.groupBy(*keys).agg(F.bool_or(failed).alias("_bad")).filter("_bad").drop("_bad")
-    good = normalize_and_dedupe(jobs.join(bad, keys, "left_anti").drop(failed), page, pos)
-    raw = jobs.join(bad, keys, "left_semi").drop(failed).withColumn("warning", F.lit("normalize_error"))
-    return good.withColumn("warning", F.lit(None).cast("string")).unionByName(raw, allowMissingColumns=True)
+    if failed is not None:
+        bad = jobs.groupBy(*keys).agg(F.bool_or(failed).alias("page_failed")).filter("page_failed")
+        jobs = jobs.drop(failed).join(bad, keys, "left")
+    fields = _job_fields(jobs, None)
+    # The location is one string from here on, also on raw postings.
+    kept = jobs.withColumn("_raw", F.struct(*[c for c in fields if c != "location"]))
+    clean = clean_jobs(kept)
+    is_raw = F.coalesce("page_failed", F.lit(False))
+    restored = clean.withColumns({
+        **{c: F.when(is_raw, F.col("_raw")[c]).otherwise(F.col(c)) for c in fields if c != "location"},
+        "sig": F.when(is_raw, F.concat(F.lit("raw::"), F.col(pos).cast("string"))).otherwise(F.col("sig")),
+        "warning": F.when(is_raw, F.lit("normalize_error")),
+    })
+    return dedupe_jobs(restored.drop("_raw", "page_failed"), page, pos)

@@ -27,6 +27,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app: str = "postings", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or get) a configured session; ``conf`` wins over the defaults."""
     builder = SparkSession.builder.appName(app)
+    # Recording the Python line of every column expression makes long plans slow to build.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

@@ -119,7 +119,8 @@ POSTED_SQL = "CASE l_partkey % 11 " + " ".join(f"WHEN {i} THEN strftime(l_shipda
 
 RAW_JOB_EXPRS = {
     "page": "l_suppkey",
-    "pos": "l_orderkey * 10 + l_linenumber",
+    # Unique within a page: the line number alone repeats within an order.
+    "pos": "(l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey % 1000000",
     "job_url": "CASE WHEN l_linenumber <> 3 THEN '/jobs/' || CAST(l_partkey AS STRING) END",
     "requisition_id": "CASE WHEN l_linenumber IN (2, 3) THEN 'REQ' || CAST(l_partkey AS STRING) END",
     "title": "'  ' || replace(p_name, ' ', '   ') || '  '",

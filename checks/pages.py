@@ -97,7 +97,7 @@ def c09(spark, sf):
 def c10(spark, sf):
     focus = P.reduce_focus(_parsed(spark, sf))
     return focus.select("page_id", "title", "kept_count", "total_candidates", F.length("focus_html").alias("n_chars"),
-                        F.round(F.col("signals")[0]["score"], 6).alias("best_score"))
+                        F.round(F.get("signals", F.lit(0))["score"], 6).alias("best_score"))
 
 
 def c10b(spark, sf):

@@ -211,8 +211,8 @@ def normalize_with_fallback(
     keeps its raw postings, marked with a ``warning``.
 
     The page's fate is read from ``page_failed``; where only postings carry a flag (``failed``) it
-    is worked out first. Both kinds of pages go through one pass: raw postings get a signature of
-    their own, so that none is merged.
+    is worked out first. Both kinds of pages go through one pass: a raw posting's signature is its
+    position, which must be unique within the page, so that none is merged.
     """
     keys = [page] if isinstance(page, str) else list(page)
     if failed is not None:

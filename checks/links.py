@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks.entities import table
 from postings.functions.urls import TRACKING_PARAMS
 from postings.operators import urls as U
-from postings.session import scratch_dir
+from postings.session import scratch_dir, spread_small
 from postings.sources import captures as C
 from postings.sources import seeds as S
 from postings.sources.tables import read_snapshot, write_snapshot
@@ -27,7 +27,7 @@ _CHECKED = "CASE pos % 5 WHEN 0 THEN href WHEN 1 THEN url WHEN 2 THEN 'https://'
 def links(spark, sf):
     """One row per href of a page, in order."""
     hrefs = F.regexp_extract_all("html", F.lit('href="([^"]*)"'), F.lit(1))
-    return table(spark, sf, "pages").select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
+    return spread_small(table(spark, sf, "pages")).select("page_id", "url", F.posexplode(hrefs).alias("pos", "href"))
 
 
 def a01(spark, sf):

@@ -24,8 +24,9 @@ _DIRTY = {
     "component": "CASE WHEN k % 17 = 0 THEN 'robot' ELSE ' ' || component || ' ' END",
     "stage": "CASE WHEN k % 13 = 0 THEN '  ' ELSE ' ' || upper(replace(stage, '_', ' ')) END",
     "severity": "CASE WHEN k % 11 = 0 THEN NULL ELSE severity END",
-    "message": "CASE WHEN k % 19 = 0 THEN '   ' ELSE '  ' || repeat(message || ' ', k * 6) END",
-    "url": "CASE WHEN k % 7 = 0 THEN url || repeat('x', k * 40) ELSE url END",
+    "message": "CASE WHEN k % 19 = 0 THEN '   ' WHEN k % 23 = 1 THEN '  ' || repeat(message || ' ', k * 6) ELSE '  ' || message || ' ' END",
+    "stack_trace": "CASE WHEN k % 3 = 0 THEN ' trace ' END",
+    "url": "CASE WHEN k % 21 = 0 THEN url || repeat('x', k * 40) ELSE url END",
 }
 
 

@@ -12,6 +12,7 @@ from postings.operators import pages as P
 from postings.operators import progress as R
 from postings.operators import upsert as G
 from postings.operators.urls import with_domain
+from postings.session import spread_small
 
 # The stored pages link from a nav only. Variants of the markup put the links where the operators
 # look for them and add controls and banners; every page is kept.
@@ -36,7 +37,7 @@ _PATTERN = "(?i)tion|er"
 
 
 def _parsed(spark, sf, markup: str = "html"):
-    return P.html_nodes(table(spark, sf, "pages").withColumn("html", F.expr(markup)))
+    return P.html_nodes(spread_small(table(spark, sf, "pages")).withColumn("html", F.expr(markup)))
 
 
 def c01(spark, sf):
@@ -148,7 +149,7 @@ _RESPONSE = (
 
 
 def responses(spark, sf):
-    return table(spark, sf, "part").select(
+    return spread_small(table(spark, sf, "part")).select(
         F.col("p_partkey").alias("page"), F.expr(_RESPONSE).alias("response"), F.concat(F.lit("site"), "p_size").alias("domain"),
         F.lit("https://given.example.com/list").alias("url"), F.col("p_brand").alias("title"))
 

@@ -26,7 +26,10 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def squash(col: Column) -> Column:
     """Collapse every run of white space to one space and trim."""
-    return F.trim(F.regexp_replace(col, WS + "+", " "))
+    # Most values are ASCII with single blanks; they skip the search for Unicode white space.
+    ascii_only = F.length(col) == F.octet_length(col)
+    tidy = ascii_only & ~F.contains(col, F.lit("  ")) & ~col.rlike(r"[\t-\r\x1c-\x1f]")
+    return F.trim(F.when(tidy, col).otherwise(F.regexp_replace(col, WS + "+", " ")))
 
 
 def strip(col: Column) -> Column:
@@ -34,6 +37,11 @@ def strip(col: Column) -> Column:
     return F.btrim(col, F.lit(WS_CHARS))
 
 
+def has_ink(col: Column) -> Column:
+    """Is there anything but white space? NULL for NULL."""
+    return col.rlike("[^" + WS[1:])
+
+
 def blank_to_null(col: Column) -> Column:
     """NULL for a string that is empty once stripped, else the stripped string."""
     return F.nullif(strip(col), F.lit(""))

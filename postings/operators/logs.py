@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postings.functions.text import blank_to_null, strip
+from postings.functions.text import blank_to_null, has_ink, strip
 from postings.schemas import ERROR_COMPONENTS, ERROR_SEVERITIES, ERROR_TYPES, PROCESS_STATUSES, PROCESS_STEPS
 
 
@@ -22,10 +22,6 @@ def split_rejects(df: DataFrame, reasons: str = "reasons") -> tuple[DataFrame, D
     return df.filter(F.size(reasons) == 0).drop(reasons), df.filter(F.size(reasons) > 0)
 
 
-def _fits(col: str, low: int, high: int) -> Column:
-    return F.length(col).between(low, high)
-
-
 def metadata_text(df: DataFrame, col: str = "metadata") -> Column:
     """JSON text of the metadata whatever its type; values that have no JSON form become text."""
     dtype = df.schema[col].dataType
@@ -43,25 +39,34 @@ def conform_error_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     Stage becomes lower snake case, the message is trimmed and capped at 5000 characters, an
     unset severity is "error".
     """
-    out = df.withColumns({
-        **{c: strip(F.col(c)) for c in ("component", "error_type", "domain", "url", "exception_type", "stack_trace")},
-        "stage": F.replace(F.lower(strip(F.col("stage"))), F.lit(" "), F.lit("_")),
-        "severity": F.coalesce(strip(F.col("severity")), F.lit("error")),
+    trimmed = {c: strip(F.col(c)) for c in ("component", "error_type", "domain", "url", "exception_type", "stack_trace")}
+    stage = F.replace(F.lower(strip(F.col("stage"))), F.lit(" "), F.lit("_"))
+    severity = F.coalesce(strip(F.col("severity")), F.lit("error"))
+
+    def fits(value: Column, low: int, high: int) -> Column:
+        return F.length(value).between(low, high)
+
+    # Judged on the incoming columns, so that filtering does not rewrite the long texts first.
+    flagged = df.withColumn("reasons", rejects(
+        ("component", trimmed["component"].isin(ERROR_COMPONENTS)),
+        ("stage", fits(stage, 1, 100)),
+        ("error_type", trimmed["error_type"].isin(ERROR_TYPES)),
+        ("severity", severity.isin(ERROR_SEVERITIES)),
+        ("domain", fits(trimmed["domain"], 1, 255)),
+        ("message", has_ink(F.col("message"))),
+        ("url", F.col("url").isNull() | fits(trimmed["url"], 0, 2048)),
+        ("exception_type", F.col("exception_type").isNull() | fits(trimmed["exception_type"], 0, 255)),
+    ))
+    conformed = {
+        **trimmed,
+        "stage": stage,
+        "severity": severity,
         "message": F.substring(strip(F.col("message")), 1, 5000),
         "metadata": metadata_text(df),
         "created_at": F.coalesce(F.col("created_at"), F.current_timestamp().cast(df.schema["created_at"].dataType)),
-    })
-    out = out.withColumn("reasons", rejects(
-        ("component", F.col("component").isin(ERROR_COMPONENTS)),
-        ("stage", _fits("stage", 1, 100)),
-        ("error_type", F.col("error_type").isin(ERROR_TYPES)),
-        ("severity", F.col("severity").isin(ERROR_SEVERITIES)),
-        ("domain", _fits("domain", 1, 255)),
-        ("message", F.length("message") > 0),
-        ("url", F.col("url").isNull() | _fits("url", 0, 2048)),
-        ("exception_type", F.col("exception_type").isNull() | _fits("exception_type", 0, 255)),
-    ))
-    return split_rejects(out)
+    }
+    valid, rejected = split_rejects(flagged)
+    return valid.withColumns(conformed), rejected.withColumns(conformed)
 
 
 def classify_errors(df: DataFrame, exc_name: str, exc_msg: str, out: str = "error_type") -> DataFrame:

@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postings.functions.text import strip
+from postings.functions.text import has_ink, strip
+from postings.functions.urls import company_name
 from postings.operators.logs import rejects, split_rejects
 from postings.schemas import JOBS, POSTING_FIELDS, POSTING_OPTIONAL, SENIORITY_BUCKETS
 
@@ -59,8 +60,8 @@ def validate_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _with_reasons(jobs: DataFrame) -> DataFrame:
     checks = [
-        ("job_url", F.length(strip(F.col("job_url"))) > 0),
-        ("title", F.length(strip(F.col("title"))) > 0),
+        ("job_url", has_ink(F.col("job_url"))),
+        ("title", has_ink(F.col("title"))),
     ]
     out = jobs.withColumn("reasons", rejects(*checks))
     if "type_errors" in jobs.columns:
@@ -224,8 +225,6 @@ def upsert_summary(saved: DataFrame, rejected: DataFrame, non_objects: DataFrame
 
 def summary_steps(summary: DataFrame, run_id: str, now: dt.datetime) -> DataFrame:
     """The db_complete row of the process log per domain that saved something."""
-    from postings.functions.urls import company_name
-
     stamp = F.lit(now).cast("timestamp")
     return summary.filter("jobs_saved > 0").select(
         F.lit(run_id).alias("run_id"), F.lit("db_complete").alias("step"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings: safe to set on a session somebody else created.
 RUNTIME_CONF = {
@@ -48,3 +48,10 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         base = tempfile.mkdtemp(prefix="postings-")
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread a table that arrives in fewer pieces than there are cores, such as one small file,
+    before row-wise work that is heavy. Tables of a size that matters pass through unshuffled."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

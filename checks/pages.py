@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from checks.entities import FINGERPRINTS_SQL, fingerprints, table
@@ -14,6 +17,9 @@ from postings.operators import upsert as G
 from postings.operators.urls import with_domain
 from postings.session import spread_small
 
+# The stand-in model goes to the workers by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # The stored pages link from a nav only. Variants of the markup put the links where the operators
 # look for them and add controls and banners; every page is kept.
 _SECTION = "replace(replace(html, '<nav>', '<section>'), '</nav>', '</section>')"

@@ -30,16 +30,18 @@ def scan_errors(
 
 
 def _grouped(errors: DataFrame, sets: dict[str, Column]) -> DataFrame:
-    """Counts per value of several columns in one pass: ``section, value, n`` (and the total)."""
-    wide = errors.select(*[c.alias(name) for name, c in sets.items()])
-    counted = wide.groupingSets([[], *[[name] for name in sets]], *sets).agg(F.count(F.lit(1)).alias("n"), *[
-        F.grouping(name).alias(f"_{name}") for name in sets
-    ])
+    """Counts per value of several columns in one pass: ``section, value, n, first, last``, and the
+    same for all rows as section "total"."""
+    wide = errors.select("created_at", *[c.alias(name) for name, c in sets.items()])
+    counted = wide.groupingSets([[], *[[name] for name in sets]], *sets).agg(
+        F.count(F.lit(1)).alias("n"), F.min("created_at").alias("first"), F.max("created_at").alias("last"),
+        *[F.grouping(name).alias(f"_{name}") for name in sets],
+    )
     section, value = F.lit("total"), F.lit(None).cast("string")
     for name in sets:
         here = F.col(f"_{name}") == 0
         section, value = F.when(here, F.lit(name)).otherwise(section), F.when(here, F.col(name)).otherwise(value)
-    return counted.select(section.alias("section"), value.alias("value"), "n")
+    return counted.select(section.alias("section"), value.alias("value"), "n", "first", "last")
 
 
 def _ranked(counted: DataFrame, caps: dict[str, int]) -> DataFrame:
@@ -55,16 +57,14 @@ def error_summary(sample: DataFrame, top_types: int = 10) -> DataFrame:
     """Counts and percentages by severity, component and (top ten) error type; the "total" row
     carries first and last time and the hours between them."""
     sets = {c: F.col(c) for c in ("severity", "component", "error_type")}
-    counted = _ranked(_grouped(sample, sets), {"error_type": top_types})
-    span = sample.agg(
-        F.count(F.lit(1)).alias("_all"), F.min("created_at").alias("_first"), F.max("created_at").alias("_last"),
-    )
+    counted = _ranked(_grouped(sample, sets), {"error_type": top_types}).filter("n > 0")
     is_total = F.col("section") == "total"
-    hours = (F.unix_micros(F.col("_last").cast("timestamp")) - F.unix_micros(F.col("_first").cast("timestamp"))) / 3.6e9
-    # A single row joins a report of some twenty rows.
-    return counted.join(F.broadcast(span)).filter("_all > 0").select(
-        "section", "value", "n", "rank", F.round(F.col("n") * 100.0 / F.col("_all"), 1).alias("pct"),
-        F.when(is_total, F.col("_first")).alias("first_at"), F.when(is_total, F.col("_last")).alias("last_at"),
+    # A few dozen rows at most are left for this window.
+    total = F.max(F.when(is_total, F.col("n"))).over(Window.partitionBy())
+    hours = (F.unix_micros(F.col("last").cast("timestamp")) - F.unix_micros(F.col("first").cast("timestamp"))) / 3.6e9
+    return counted.select(
+        "section", "value", "n", "rank", F.round(F.col("n") * 100.0 / total, 1).alias("pct"),
+        F.when(is_total, F.col("first")).alias("first_at"), F.when(is_total, F.col("last")).alias("last_at"),
         F.when(is_total, F.round(hours, 1)).alias("span_hours"),
     )
 
@@ -103,7 +103,7 @@ def domain_detail(sample: DataFrame, domain: str, top_stages: int = 10) -> DataF
     sets = {
         "component": F.col("component"), "stage": F.concat_ws(":", "component", "stage"), "error_type": F.col("error_type"),
     }
-    return _ranked(_grouped(rows, sets), {"stage": top_stages}).filter("n > 0")
+    return _ranked(_grouped(rows, sets), {"stage": top_stages}).filter("n > 0").drop("first", "last")
 
 
 def domain_timeline(sample: DataFrame, domain: str, n: int = 10) -> DataFrame:

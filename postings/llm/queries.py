@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from postings.llm import mixing, quality
+from postings.llm import mixing, quality, simhash
 from postings.llm.common import read
 
 
+def op1_simhash_dedup(spark, sf):
+    return simhash.simhash_groups(read(spark, sf, "documents"))
+
+
 def op2_source_mix(spark, sf):
     return mixing.mix_sources(read(spark, sf, "documents"))
 
@@ -15,6 +19,7 @@ def op4_quality_rules(spark, sf):
 
 
 QUERIES = {
+    "op1_simhash_dedup": op1_simhash_dedup,
     "op2_source_mix": op2_source_mix,
     "op4_quality_rules": op4_quality_rules,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postings.llm import chat, mixing, quality, secrets, simhash, toxicity, warc
+from postings.llm import chat, decontaminate, mixing, quality, secrets, simhash, toxicity, warc
 from postings.llm.common import read, stored
 from postings.session import scratch_dir
 
@@ -52,6 +52,10 @@ def op9_chat_format(spark, sf):
     return chat.read_back(stored(chat.format_chats(turns), "chat-windows"))
 
 
+def op10_decontaminate(spark, sf):
+    return decontaminate.find_leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_source_mix": op2_source_mix,
@@ -60,6 +64,7 @@ QUERIES = {
     "op7_arc_to_warc": op7_arc_to_warc,
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES = {

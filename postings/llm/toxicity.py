@@ -31,7 +31,7 @@ from postings.llm.common import by_batch, stored
 
 MAX_ROWS, MAX_WORDS = 3000, 1500
 DECAY, MAX_WORD = 0.5, 20
-LANDMARKS, TOP = 160, 3
+LANDMARKS, TOP = 160, 2
 #: Margin of a text without words.
 NO_MARGIN = -2.0
 CACHE = 300_000

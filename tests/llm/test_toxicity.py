@@ -56,10 +56,9 @@ def test_held_out_and_gapped_insults(spark, labelled):
     rows = T.score(labelled, model).join(labelled.drop("score"), "doc_id").filter("doc_id BETWEEN 400 AND 599").collect()
     assert sum((r["score"] >= 0.7) == (r["toxic"] == 1) for r in rows) >= 0.9 * len(rows)
     plain = "tharin oubel stoner anmicor rincor"
-    texts = [plain, f"{plain} l.o.s.e.r idi-ot", f"{plain} l o s e r i d i o t", f"{plain} path_etic worthl*ess", "", None]
-    scores = model.scores(texts)
-    assert scores[0] < 0.5 and scores[1] > 0.5 and scores[3] > 0.5 and scores[1:4].min() > scores[0]
-    assert scores[4] == scores[5] < 0.5
+    assert model.margins(["l.o.s.e.r", "idi-ot", "path_etic", "worthl*ess"]).min() > model.margins(plain.split()).max()
+    scores = model.scores([plain, f"{plain} idiot loser", f"{plain} l o s e r pathetic", "", None])
+    assert scores[0] < 0.5 < scores[1:3].min() and scores[3] == scores[4] < 0.5
 
 
 def test_odd_tables(spark, labelled):

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from postings.llm.hashing import Stretches, mix
+
 SIMILARITY = 0.8
 #: Repetitions; steps of the walk; steps sampled for a key in each repetition.
 REPETITIONS, STEPS, SAMPLED = 6, 12, 4
@@ -43,33 +45,13 @@ _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 
 
-def mix(x: np.ndarray, salt: int) -> np.ndarray:
-    """A fixed bijective scrambling of 64-bit values."""
-    x = (x ^ _U(salt * 0x9E3779B97F4A7C15 & 2**64 - 1)) * _U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> _U(31))) * _U(0x94D049BB133111EB)
-    return x ^ (x >> _U(29))
-
-
-_BYTE = mix(np.arange(1, 257, dtype=np.uint64), 7)
-_BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 2**64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.ones(n, np.uint64)
-    out[1:] = _U(base)
-    return np.multiply.accumulate(out)
-
-
 def word_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of texts laid end to end: folded bytes, word starts, word ends, word hashes, number of words per text."""
     data = _FOLD[np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)]
     space = _SPACE[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([True], space))))
     starts, ends = edge[0::2], edge[1::2]
-    # A polynomial in the byte's place: sums of a word are differences of running sums.
-    running = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_BASE, len(data)), dtype=np.uint64)))
-    hashes = mix((running[ends] - running[starts]) * _powers(_INVERSE, len(data) + 1)[starts], 1)
+    hashes = Stretches(data).of(starts, ends)
     limits = np.cumsum([len(t) + 1 for t in texts])
     counts = np.diff(np.concatenate(([0], np.searchsorted(starts, limits))))
     return data, starts, ends, hashes, counts

@@ -43,12 +43,12 @@ def test_recall_against_all_texts(spark):
     rnd = random.Random(2)
     words = ["".join(rnd.choice("abcdefghijklmnoprstu") for _ in range(rnd.randint(2, 9))) for _ in range(600)]
     say = lambda n: [rnd.choice(words) for _ in range(n)]
-    items = [say(rnd.randint(15, 45)) for _ in range(12)] + [say(4), []]
+    items = [say(rnd.randint(15, 45)) for _ in range(8)] + [say(4), []]
     docs = []
-    for i in range(240):
-        text = say(rnd.randint(0, 150))
+    for i in range(90):
+        text = say(rnd.randint(0, 90))
         if i % 2:
-            part = list(items[rnd.randrange(13)])
+            part = list(items[rnd.randrange(9)])
             for _ in range(rnd.randrange(1 + len(part) // 7)):
                 part[rnd.randrange(len(part))] = rnd.choice(words)
             at = rnd.randrange(len(text) + 1)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postings.llm import chat, decontaminate, mixing, quality, repeats, secrets, simhash, toxicity, warc
+from postings.llm import chat, decontaminate, language_model, mixing, quality, repeats, secrets, simhash, toxicity, warc
 from postings.llm.common import read, stored
 from postings.session import scratch_dir
 
@@ -29,6 +29,10 @@ def op5_suffix_repeats(spark, sf):
     return repeats.remove_repeats(read(spark, sf, "documents")).drop("kept")
 
 
+def op6_lm_scoring(spark, sf):
+    return language_model.score_texts(read(spark, sf, "documents"), ~_held_out(7, 2))
+
+
 def op7_arc_to_warc(spark, sf):
     out = scratch_dir(spark, "archives")
     pages = read(spark, sf, "pages").withColumn("newer", F.xxhash64("page_id", "url") % 2 == 0)
@@ -66,6 +70,7 @@ QUERIES = {
     "op3_secret_scan": op3_secret_scan,
     "op4_quality_rules": op4_quality_rules,
     "op5_suffix_repeats": op5_suffix_repeats,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_arc_to_warc": op7_arc_to_warc,
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,

@@ -32,7 +32,7 @@ from postings.llm.hashing import Stretches, mix
 
 SIMILARITY = 0.8
 #: Repetitions; steps of the walk; steps sampled for a key in each repetition.
-REPETITIONS, STEPS, SAMPLED = 6, 12, 4
+REPETITIONS, STEPS, SAMPLED = 4, 16, 5
 MIN_WORDS = 6
 MAX_ITEM_BYTES = 8 << 20
 #: Words handled at once.
@@ -60,7 +60,9 @@ def word_table(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
 def walk_keys(hashes: np.ndarray, repetition: int, steps: int = STEPS, sampled: int = SAMPLED) -> np.ndarray:
     """Key of the window at every word: embedded symbols at the repetition's sampled steps. Beyond the end symbols are 0."""
     rnd = np.random.default_rng(1000 + repetition)
-    chosen = set(rnd.choice(steps, sampled, replace=False).tolist())
+    # One step from each of as many stretches of the walk: a key never hangs on one or two words.
+    edges = np.linspace(0, steps, sampled + 1).astype(int)
+    chosen = {int(rnd.integers(a, b)) for a, b in zip(edges[:-1], edges[1:])}
     padded = np.concatenate((hashes, np.zeros(steps, np.uint64)))
     bits = mix(padded, 100 + repetition)
     at = np.arange(len(hashes))
@@ -129,8 +131,8 @@ class Items:
                 first.setdefault(int(hashes[starts[i]]), []).append(i)
         return Items(ids, normal, counts, keys, owners, places, first)
 
-    def candidates(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(item, word where it would start) of all collisions of windows in ``hashes``."""
+    def candidates(self, hashes: np.ndarray) -> np.ndarray:
+        """Rows of all collisions of windows in ``hashes``: item, word where it would start, word of the window."""
         found = []
         for r in range(REPETITIONS):
             if not len(self.keys[r]):
@@ -139,38 +141,33 @@ class Items:
             low = np.searchsorted(self.keys[r], key, "left")
             hit = np.flatnonzero(self.keys[r][np.minimum(low, len(self.keys[r]) - 1)] == key)
             if len(hit):
-                high = np.searchsorted(self.keys[r], key[hit], "right")
-                n = high - low[hit]
+                n = np.searchsorted(self.keys[r], key[hit], "right") - low[hit]
                 slot = np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                found.append(np.stack([self.owners[r][slot], np.repeat(hit, n) - self.places[r][slot]]))
+                at = np.repeat(hit, n)
+                found.append(np.stack([self.owners[r][slot], at - self.places[r][slot], at], 1))
         for h, items in self.first.items():
             hit = np.flatnonzero(hashes == _U(h))
-            found += [np.stack([np.full(len(hit), i), hit]) for i in items]
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1) if found else np.zeros((2, 0), int)
-        return pairs[0], pairs[1]
-
-    def matches(self, words: list[str], hashes: np.ndarray, similarity: float) -> list[tuple[int, int, int, int]]:
-        """(item, first word, last word + 1, distance) in one text, each item at its best place per stretch."""
-        out = []
-        item, start = self.candidates(hashes)
-        at = 0
-        while at < len(item):
-            i, end = item[at], at + 1
-            n = int(self.n_words[i])
-            slack = max(2, int(n * (1 - similarity)) + 1)
-            while end < len(item) and item[end] == i and start[end] - start[end - 1] <= slack:
-                end += 1
-            a, b = max(0, int(start[at]) - slack), min(len(words), int(start[end - 1]) + n + slack)
-            text, body = self.texts[i], " ".join(words[a:b])
-            most = int((1 - similarity) * len(text) + 1e-9) if n >= MIN_WORDS else 0
-            if n < MIN_WORDS:
-                found = (0, 0) if words[int(start[at]):int(start[at]) + n] == text.split(" ") else None
-            else:
-                found = best_distance(text, body, most)
-            if found:
-                out.append((int(i), a, b, found[0]))
-            at = end
-        return out
+            found += [np.stack([np.full(len(hit), i), hit, hit], 1) for i in items]
+        return np.concatenate(found) if found else np.zeros((0, 3), int)
+
+    def verify(self, i: int, low: int, high: int, words: list[str], similarity: float) -> tuple[int, int, int] | None:
+        """(first word, end word, distance) if item i stands in one text where it may start at words low to high."""
+        n, text = int(self.n_words[i]), self.texts[i]
+        slack = self.slack(i, similarity)
+        a, b = max(0, low - slack), min(len(words), high + n + slack)
+        if n < MIN_WORDS:
+            return (low, low + n, 0) if words[low:low + n] == text.split(" ") else None
+        body, most = " ".join(words[a:b]), int((1 - similarity) * len(text) + 1e-9)
+        # An edit touches three trigrams at most, so a match keeps all others of the item.
+        here = {body[k:k + 3] for k in range(len(body) - 2)}
+        if sum(text[k:k + 3] in here for k in range(len(text) - 2)) < len(text) - 2 - 3 * most:
+            return None
+        found = best_distance(text, body, most)
+        return (a, b, found[0]) if found else None
+
+    def slack(self, i: int, similarity: float) -> int:
+        """Words by which edits may shift a place."""
+        return 0 if self.n_words[i] < MIN_WORDS else max(2, int(self.n_words[i] * (1 - similarity)) + 1)
 
 
 def _blocks(benchmark: DataFrame, most: int):
@@ -237,22 +234,27 @@ def _texts(batch: pa.RecordBatch, most: int = 1 << 20):
 
 
 def _scan(items: Items, ids: list, texts: list[bytes], hashes: np.ndarray, counts: np.ndarray, similarity: float, found: list) -> None:
-    """Collect matches of all texts of a block. Windows run over the whole block; those that reach into the
-    next text can only add candidates, which are then verified within each text."""
-    _, start = items.candidates(hashes)
-    if not len(start):
+    """Collect matches of all texts of a block. Windows run over the whole block; one that reaches into the
+    next text can only add a candidate, which is then verified within its own text."""
+    hits = items.candidates(hashes)
+    if not len(hits):
         return
     ends = np.cumsum(counts)
-    # A window may begin before the text does, so both neighbours of a start are looked at.
-    touched = np.unique(np.searchsorted(ends, np.clip(np.concatenate([start, start + int(items.n_words.max())]), 0, max(0, len(hashes) - 1)), "right"))
-    for row in range(int(touched[0]), int(touched[-1]) + 1):
-        a = int(ends[row] - counts[row])
-        own = hashes[a:int(ends[row])]
-        if not len(own) or not np.any((start < ends[row]) & (start + items.n_words.max() > a)):
-            continue
-        words = [w.decode("utf-8", "replace") for w in texts[row].lower().split()]
-        for i, first, end, distance in items.matches(words, own, similarity):
-            found.append((ids[row], i, first, end, distance))
+    row = np.searchsorted(ends, hits[:, 2], "right")
+    table = np.unique(np.stack([row, hits[:, 0], hits[:, 1] - (ends - counts)[row]], 1), axis=0)
+    words, at, last_row = [], 0, -1
+    table = table.tolist()
+    while at < len(table):
+        row, i, low = table[at]
+        slack, end = items.slack(i, similarity), at + 1
+        while end < len(table) and table[end][:2] == [row, i] and table[end][2] - table[end - 1][2] <= slack:
+            end += 1
+        if row != last_row:
+            words, last_row = [w.decode("utf-8", "replace") for w in texts[row].lower().split()], row
+        match = items.verify(i, low, table[end - 1][2], words, similarity)
+        if match:
+            found.append((ids[row], i, *match))
+        at = end
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:

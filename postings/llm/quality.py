@@ -115,43 +115,19 @@ def verdict(m: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     return kept
 
 
+def base_failed(m: Column) -> Column:
+    """Too short, or mostly repetition."""
+    return (m["n_words"] < 20) | (100 * m["n_repeat_words"] > 30 * m["n_words"])
+
+
 def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Per row: id, counts, ``base_failed`` (too short, or mostly repetition) and ``kept``."""
     m = F.col("m")
     rows = docs.select(F.col(id_col).alias("doc_id"), measures(F.col(text_col)).alias("m"))
-    flat = rows.select(
-        "doc_id", *[m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")], verdict(m, rules).alias("passed"),
-    )
-    failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
-    return flat.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & F.col("passed")).drop("passed")
+    counts = [m[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
+    return rows.select("doc_id", *counts, base_failed(m).alias("base_failed"), (~base_failed(m) & verdict(m, rules)).alias("kept"))
 
 
 def filter_quality(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The rows whose text passes every rule, with their own columns."""
-    return docs.filter(let(measures(F.col(text_col)), lambda m: verdict(m, rules)))
-
-
-_STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
-_RULE_SQL = " AND ".join(
-    f"coalesce({rule.measure} {op} {bound}, true)"
-    for rule in RULES for op, bound in ((">=", rule.low), ("<=", rule.high)) if bound is not None
-)
-
-#: DuckDB: windows are compared as lists of words, not by hash.
-ORACLE = rf"""
-WITH a AS (SELECT *, row_number() OVER () AS rid, coalesce(text, '') AS full_text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM {{docs}}),
-g AS (SELECT rid, i, w[i:i+7] AS g FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM a)),
-s AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM g) WHERE c > 1),
-c AS (SELECT rid, CAST(sum(least(8, coalesce(nxt - i, 8))) AS BIGINT) AS n_repeat_words
-  FROM (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM s) GROUP BY rid),
-k AS (SELECT a.*, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
-    CAST(len(regexp_extract_all(full_text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
-    list_filter(string_split(full_text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS filled,
-    CAST(len(list_filter(w, lambda x: lower(x) IN ({_STOP_SQL}))) AS BIGINT) AS n_stop_words, coalesce(n_repeat_words, 0) AS n_repeat_words
-  FROM a LEFT JOIN c USING (rid)),
-q AS (SELECT *, CAST(len(filled) - len(list_distinct(filled)) AS BIGINT) AS n_dup_lines, n_repeat_words / nullif(n_words, 0) AS repeat_ratio,
-    word_chars / nullif(n_words, 0) AS mean_word_chars, n_symbols / nullif(n_words, 0) AS symbols_per_word,
-    n_stop_words / nullif(n_words, 0) AS stop_word_ratio FROM k),
-p AS (SELECT *, n_dup_lines / nullif(len(filled), 0) AS dup_line_ratio FROM q),
-j AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed, {_RULE_SQL} AS passed FROM p)
-"""
+    """The rows whose text passes the base rules and every rule of the table, with their own columns."""
+    return docs.filter(let(measures(F.col(text_col)), lambda m: ~base_failed(m) & verdict(m, rules)))

@@ -152,7 +152,7 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, ledger: str | None = None, text_col: str = "text", mask: str = "[secret]", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows with every found span replaced by ``mask``; overlapping spans are one. Other columns stay."""
+    """The rows with every found span replaced by ``mask``; a span that overlaps the one before adds to it. Other columns stay."""
     root = ledger or scratch_dir(docs.sparkSession, "ledger")
     keyed = docs.withColumn("blob", blob_id(F.col(text_col)))
     update_ledger(keyed.select("blob", F.col(text_col).alias("text")), root, rules)
@@ -163,7 +163,7 @@ def redact(docs: DataFrame, ledger: str | None = None, text_col: str = "text", m
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(
             F.greatest(a["at"], s["stop"]).alias("at"),
-            F.when(s["start"] >= a["at"], F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask))).otherwise(a["out"]).alias("out")),
+            F.when((s["start"] >= a["at"]), F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mask))).otherwise(a["out"]).alias("out")),
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
     )
     joined = keyed.join(spans, "blob", "left")

@@ -205,7 +205,7 @@ def g08(spark, sf):
 
 def g08b(spark, sf):
     batch = G.dedupe_batch(_records(spark, sf, "O")[0])
-    return G.upsert_jobs(_current(spark, sf), batch, AS_OF, small_batch=True).select(*_UPSERTED)
+    return G.upsert_jobs(_current(spark, sf), batch, AS_OF).select(*_UPSERTED)
 
 
 def g09(spark, sf):
@@ -379,5 +379,5 @@ count(*) FILTER (WHERE reasons <> '') AS validation_errors FROM checked WHERE l_
     "k03_infer_seniority": f"SELECT *, CASE seniority_bucket WHEN 'staff' THEN 'senior' ELSE seniority_bucket END AS normalized FROM (SELECT p_partkey, title, {_SENIORITY} AS seniority_bucket FROM (SELECT p_partkey, {_TITLE} AS title FROM part) q) r",
     "k04_clean_description": f"""SELECT page_id, substring(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
   '{_DROP_TAGS}', '', 'g'), '(?s)<!--.*?-->', '', 'g'), '(?i)</?(?:p|div|section|article|ul|ol|li|h[1-6]|tr|table)\\b[^>]*>|<br\\s*/?>', chr(1), 'g'),
-  '<[^>]*>', '', 'g'), '[\\t-\\r\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'), '( ?\\x01 ?)+', chr(10) || chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g'), 1, 10000) AS job_description FROM pages""",
+  '<[^>]*>', '', 'g'), '[\\t-\\r\\x1c-\\x1f\\x85\\p{{Z}}]+', ' ', 'g'), '( ?\\x01 ?)+', chr(10) || chr(10), 'g'), '^[ \\n]+|[ \\n]+$', '', 'g'), 1) AS job_description FROM pages""",
 }

@@ -158,10 +158,10 @@ SELECT severity, exception_type, count(st) AS kept, CAST(sum(length(st)) AS BIGI
     "h06_step_descriptions": _PROC + """ SELECT event_id, step, CASE step WHEN 'crawl_start' THEN 'Crawling ' || company || ' company' WHEN 'crawl_complete' THEN 'Finished Crawling'
   WHEN 'llm_start' THEN 'Sending reduced_html to Gemini' WHEN 'llm_complete' THEN 'Gemini process complete, found ' || coalesce(CAST(jobs_found AS VARCHAR), '{jobs_found}') || ' jobs'
   ELSE 'Database save complete, saved ' || coalesce(CAST(jobs_saved AS VARCHAR), '{jobs_saved}') || ' jobs' END AS description FROM process_logs""",
-    "h07a_logs_for_run": _PROC + " SELECT event_id, step, started_at FROM process_logs WHERE run_id = '7' ORDER BY started_at, step LIMIT 100",
-    "h07b_logs_for_company": _PROC + " SELECT event_id, run_id, created_at FROM process_logs WHERE trim(company) = 'Site 7' ORDER BY created_at DESC, run_id, step LIMIT 100",
+    "h07a_logs_for_run": _PROC + " SELECT event_id, step, started_at FROM process_logs WHERE run_id = '7'",
+    "h07b_logs_for_company": _PROC + " SELECT event_id, run_id, created_at FROM process_logs WHERE trim(company) = 'Site 7'",
     "h08_errors_for_domain": _ERR + """ SELECT created_at, stage, error_type, message FROM error_logs WHERE domain = 'jobs.site7.example.com' AND severity = 'error'
-AND component = 'crawler' ORDER BY created_at DESC, component, stage, error_type, message LIMIT 100""",
+AND component = 'crawler'""",
     "a09_error_logs_with_fallback": _ERR + """ SELECT created_at, domain, component, severity, error_type, message, json_extract_string(metadata, '$.page_title') AS page_title,
   json_extract_string(metadata, '$.attempt') AS attempt FROM error_logs""",
     "a10_process_logs_with_fallback": _PROC + _CONF + """ SELECT rid AS run_id, step, comp AS company, dom AS domain, status, started_at, completed_at, dur AS duration_seconds,

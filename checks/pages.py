@@ -15,7 +15,6 @@ from postings.operators import pages as P
 from postings.operators import progress as R
 from postings.operators import upsert as G
 from postings.operators.urls import with_domain
-from postings.session import spread_small
 
 # The stand-in model goes to the workers by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -43,7 +42,7 @@ _PATTERN = "(?i)tion|er"
 
 
 def _parsed(spark, sf, markup: str = "html"):
-    return P.html_nodes(spread_small(table(spark, sf, "pages")).withColumn("html", F.expr(markup)))
+    return P.html_nodes(table(spark, sf, "pages").withColumn("html", F.expr(markup)))
 
 
 def c01(spark, sf):
@@ -155,13 +154,13 @@ _RESPONSE = (
 
 
 def responses(spark, sf):
-    return spread_small(table(spark, sf, "part")).select(
+    return table(spark, sf, "part").select(
         F.col("p_partkey").alias("page"), F.expr(_RESPONSE).alias("response"), F.concat(F.lit("site"), "p_size").alias("domain"),
         F.lit("https://given.example.com/list").alias("url"), F.col("p_brand").alias("title"))
 
 
 def d01(spark, sf):
-    out = X.build_extraction_requests(table(spark, sf, "pages"), "Extract all jobs.", max_chars=2000)
+    out = X.build_extraction_requests(table(spark, sf, "pages"), "Extract all jobs.")
     return out.select("page_id", "truncated", "request")
 
 
@@ -196,8 +195,8 @@ def _repair(text: str) -> str:
 
 def d05(spark, sf):
     _, quarantine = X.decode_json_robust(responses(spark, sf))
-    fixed, still = X.repair_failed_json(quarantine, _repair, base_sleep=0.001, max_delay=0.002)
-    return fixed.select("page", F.lit(True).alias("fixed")).unionByName(still.select("page", F.lit(False).alias("fixed")))
+    asked = X.repair_failed_json(quarantine, _repair, base_sleep=0.001, max_delay=0.002)
+    return asked.select("page", F.col("strategy").isNotNull().alias("fixed"))
 
 
 def d06(spark, sf):
@@ -275,11 +274,11 @@ _OK = "page % 9 NOT IN (5, 8)"
 ORACLES = {
     "c01_html_nodes": f"""SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, unnest(regexp_extract_all(regexp_replace({_BARE}, '<!--.*?-->', '', 'g'), '<([a-z][a-z0-9]*)(?:\\s[^>]*)?>', 1)) AS tag FROM pages) q
 GROUP BY page_id, tag""",
-    "c02_ordered_job_links": f"WITH {_LINK_HITS} SELECT page_id, CAST(pos AS INT) AS pos, {_ROOT} || href AS link FROM hits WHERE pos < 200",
+    "c02_ordered_job_links": f"WITH {_LINK_HITS} SELECT page_id, CAST(pos AS INT) AS pos, {_ROOT} || href AS link FROM hits",
     "c03_job_list_len": "SELECT page_id, CAST(len(regexp_extract_all(html, '<li>')) + len(regexp_extract_all(html, '<article>')) AS INT) AS n FROM pages",
-    "c04_page_text_fingerprint": f"WITH {_ANCHORS} SELECT page_id, sha1(string_agg(trim(label), chr(10) || chr(10) ORDER BY i)) AS text_fp FROM anchors WHERE i < 50 GROUP BY page_id",
-    "c05_results_fingerprint": f"""WITH {_LINK_HITS}, fp AS (SELECT page_id, sha1(string_agg(trim(label), chr(10) || chr(10) ORDER BY i)) AS text_fp FROM anchors WHERE i < 50 GROUP BY page_id),
-n AS (SELECT page_id, count(*) AS c FROM hits WHERE pos < 60 GROUP BY page_id)
+    "c04_page_text_fingerprint": f"WITH {_ANCHORS} SELECT page_id, sha1(string_agg(trim(label), chr(10) || chr(10) ORDER BY i)) AS text_fp FROM anchors GROUP BY page_id",
+    "c05_results_fingerprint": f"""WITH {_LINK_HITS}, fp AS (SELECT page_id, sha1(string_agg(trim(label), chr(10) || chr(10) ORDER BY i)) AS text_fp FROM anchors GROUP BY page_id),
+n AS (SELECT page_id, count(*) AS c FROM hits GROUP BY page_id)
 SELECT p.page_id, {_normalized('p.url')} AS url, text_fp, CAST(coalesce(c, 0) AS INT) AS job_count, 0 AS scroll_h
 FROM pages p JOIN fp ON p.page_id = fp.page_id LEFT JOIN n ON p.page_id = n.page_id""",
     "c06_capture_progress": f"""WITH {FINGERPRINTS_SQL}, w AS (SELECT *, lag(url) OVER s AS u0, lag(text_fp) OVER s AS t0, lag(job_count) OVER s AS j0, lag(scroll_h) OVER s AS h0
@@ -314,7 +313,7 @@ ORACLES |= {
 SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' ELSE 'expansion' END AS mode, CASE WHEN bool_or(page_id % 2 = 0) THEN 'no_next' ELSE 'none' END AS stop_reason,
   max(ts) AS ts, string_agg(page_id || ':' || n, ',' ORDER BY page_id) AS pages FROM caps GROUP BY domain, seed_base""",
     "c13_detect_pagination_controls": "SELECT page_id, contains(url, '/en/') AS has_load_more, regexp_matches(url, '/(de|es)/') AS has_next FROM pages",
-    "d01_build_extraction_requests": f"SELECT page_id, length(html) > 2000 AS truncated, {_REQUEST.format('substring(html, 1, 2000)')} AS request FROM pages",
+    "d01_build_extraction_requests": f"SELECT page_id, false AS truncated, {_REQUEST.format('html')} AS request FROM pages",
     "d02_extract_with_model": f"""SELECT page_id, CASE WHEN n % 5 <> 0 THEN '{{"jobs": [], "chars": ' || n || '}}' END AS response, CAST(CASE WHEN n % 5 = 0 THEN 3 ELSE 1 END AS INT) AS attempts,
   CASE WHEN n % 5 = 0 THEN 'busy' END AS error FROM (SELECT page_id, length({_REQUEST.format('html')}) AS n FROM pages) q""",
     "d03_sanitize_json_text": f"""WITH {_RESP} SELECT page, trim(regexp_replace(regexp_replace(translate(regexp_replace(trim(response), '(?i)^```(?:json)?\\s*|\\s*```$', '', 'g'),
@@ -323,7 +322,7 @@ SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' E
   WHEN 5 THEN 'quarantine' WHEN 6 THEN 'sanitized' WHEN 7 THEN 'lenient' ELSE 'strict' END AS strategy, CASE WHEN {_OK} THEN p_name END AS first_title FROM responses""",
     "d05_repair_failed_json": f"WITH {_RESP} SELECT page, NOT contains(response, 'green') AS fixed FROM responses WHERE page % 9 = 5",
     "d06a_page_results": f"""WITH {_RESP} SELECT page, CASE WHEN {_OK} THEN 'https://s' || p_size || '.example.com/c' ELSE 'https://given.example.com/list' END AS source_url, p_brand AS page_title,
-  CASE page % 9 WHEN 5 THEN 'LLM returned non-JSON output; all repair attempts failed' WHEN 8 THEN '''list'' object has no attribute ''setdefault''' END AS error,
+  CASE page % 9 WHEN 5 THEN 'LLM returned non-JSON output; all repair attempts failed' WHEN 8 THEN 'response is of type list, not an object' END AS error,
   CAST(CASE WHEN {_OK} THEN 4 ELSE -1 END AS INT) AS n_jobs FROM responses""",
     "d06b_json_error_rows": f"WITH {_RESP} SELECT 'given.example.com' AS domain, 'json_error' AS error_type, 'parse_json' AS stage, CAST(length(response) AS VARCHAR) AS n, p_brand AS page_title FROM responses WHERE page % 9 = 5",
     "d07a_explode_jobs": f"""WITH {_RESP}, rows AS (SELECT *, unnest([0, 1, 3]) AS pos FROM responses WHERE {_OK})

@@ -62,8 +62,10 @@ def _decompositions() -> tuple[str, str, str, dict[str, str]]:
     (full-width, superscript), and longer expansions (ligatures, roman numerals).
     """
     marked, bare, longer = {}, {}, {}
-    for code in range(0x80, 0x10000):
+    for code in range(0x80, 0x110000):
         char = chr(code)
+        if not unicodedata.decomposition(char) and char.lower() == char:
+            continue  # nothing ASCII can come of it
         plain = re.sub("[^a-z0-9-]+", "-", unicodedata.normalize("NFKD", char).lower())
         if len(plain) == 1 and plain != "-":
             bare[char] = plain

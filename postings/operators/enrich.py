@@ -103,13 +103,13 @@ def infer_seniority(jobs: DataFrame, title: str = "title", out: str = "seniority
     return jobs.withColumn(out, F.when(text == "", F.lit("unknown")).otherwise(_first_match(text, SENIORITY_RULES, "mid")))
 
 
-def clean_description(df: DataFrame, html: str, out: str = "job_description", max_chars: int = 10000) -> DataFrame:
-    """Text of an HTML description: tags dropped, paragraphs kept apart by a blank line, capped."""
-    text = F.regexp_replace(F.col(html), r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>", "")
+def clean_description(df: DataFrame, html: str, out: str = "job_description", max_chars: int | None = None) -> DataFrame:
+    """Text of an HTML description: tags dropped, paragraphs kept apart by a blank line; cut only if asked to."""
+    text = F.regexp_replace(F.col(html), r"(?is)<(script|style|noscript|template)(?=[\s/>]).*?</\1\s*>", "")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", "")
     text = F.regexp_replace(text, r"(?i)</?(?:p|div|section|article|ul|ol|li|h[1-6]|tr|table)\b[^>]*>|<br\s*/?>", "\u0001")
     text = F.regexp_replace(text, r"<[^>]*>", "")
     text = F.regexp_replace(text, WS + "+", " ")
     text = F.regexp_replace(text, r"( ?\x01 ?)+", "\n\n")
     text = F.regexp_replace(text, r"^[ \n]+|[ \n]+\z", "")
-    return df.withColumn(out, F.coalesce(F.substring(text, 1, max_chars), F.lit("")))
+    return df.withColumn(out, F.coalesce(F.substring(text, 1, max_chars) if max_chars else text, F.lit("")))

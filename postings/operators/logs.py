@@ -161,18 +161,22 @@ def step_descriptions(df: DataFrame, out: str = "description") -> DataFrame:
     return df.withColumn(out, text.otherwise(F.col("step")))
 
 
-def logs_for_run(df: DataFrame, run_id: str, limit: int = 100) -> DataFrame:
+def _newest(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
+def logs_for_run(df: DataFrame, run_id: str, limit: int | None = None) -> DataFrame:
     """Steps of one run, oldest first."""
-    return df.filter(F.col("run_id") == run_id).orderBy("started_at", "step", "created_at").limit(limit)
+    return _newest(df.filter(F.col("run_id") == run_id).orderBy("started_at", "step", "created_at"), limit)
 
 
-def logs_for_company(df: DataFrame, company: str, limit: int = 100) -> DataFrame:
+def logs_for_company(df: DataFrame, company: str, limit: int | None = None) -> DataFrame:
     """Steps of one company, newest first."""
-    return df.filter(F.col("company") == company).orderBy(F.desc("created_at"), "run_id", "step").limit(limit)
+    return _newest(df.filter(F.col("company") == company).orderBy(F.desc("created_at"), "run_id", "step"), limit)
 
 
 def errors_for_domain(
-    df: DataFrame, domain: str, limit: int = 100, severity: str | None = None, component: str | None = None,
+    df: DataFrame, domain: str, limit: int | None = None, severity: str | None = None, component: str | None = None,
 ) -> DataFrame:
     """Errors of one domain, newest first."""
     out = df.filter(F.col("domain") == domain)
@@ -180,4 +184,4 @@ def errors_for_domain(
         out = out.filter(F.col("severity") == severity)
     if component:
         out = out.filter(F.col("component") == component)
-    return out.orderBy(F.desc("created_at"), "component", "stage", "error_type", "message").limit(limit)
+    return _newest(out.orderBy(F.desc("created_at"), "component", "stage", "error_type", "message"), limit)

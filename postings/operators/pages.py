@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.functions import urls as U
-from postings.functions.text import WS, strip
+from postings.functions.text import WS, let, strip
 from postings.operators.upsert import error_rows
 
 # Worker processes get the parser by value: they need not have this package on their path.
@@ -82,6 +82,7 @@ class _Outline(HTMLParser):
         self.skipping = 0
         self.title: list[str] | None = None
         self.title_text = ""
+        self.failure: str | None = None
 
     def _emit(self, markup: str) -> None:
         self.html.append(markup)
@@ -173,6 +174,11 @@ class _Outline(HTMLParser):
         self.text_len += len(data)
         self._emit(escape(data, quote=False))
 
+    def parse_marked_section(self, i: int, report: int = 1) -> int:
+        """Sections of unknown kinds end at their ">", like a comment that is not closed properly."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def handle_comment(self, data: str) -> None:
         if not self.skipping:
             self._emit(f"<!--{data}-->")
@@ -183,6 +189,7 @@ class _Outline(HTMLParser):
         for node in self.nodes:
             del node["_inside"], node["_chunk"]
         return {
+            "parse_error": self.failure,
             "title": " ".join("".join(self.title or []).split()),
             "text": "".join(self.text),
             "clean_html": "".join(self.html),
@@ -195,13 +202,14 @@ def _outline(html: str | None) -> dict:
     try:
         parser.feed(html or "")
         parser.close()
-    except (AssertionError, ValueError, IndexError):
-        pass  # what was read so far stands
+    except (AssertionError, ValueError, IndexError) as exc:
+        parser.failure = f"{type(exc).__name__}: {exc}"  # what was read so far stands, and the page says so
     return parser.finish()
 
 
 def html_nodes(pages: DataFrame, key: str | list[str] = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
-    """Parse each page once: keys and kept columns, ``title``, ``text``, ``clean_html``, ``nodes``.
+    """Parse each page once: keys and kept columns, ``title``, ``text``, ``clean_html``, ``nodes``, and ``parse_error``
+    where the rest of a page could not be read.
 
     script, style, noscript and template are left out. ``nodes`` is in document order; ``last``
     is the id of an element's last descendant, ``within`` the distinct tags around it. Write the
@@ -226,14 +234,15 @@ def html_nodes(pages: DataFrame, key: str | list[str] = "page_id", html: str = "
                 columns = [part.column(c) for c in carried]
                 columns += [pa.array([p[c] for p in pages_out], pa.string()) for c in ("title", "text", "clean_html")]
                 columns.append(pa.array([p["nodes"] for p in pages_out], pa.list_(node_type)))
-                yield pa.RecordBatch.from_arrays(columns, [*carried, "title", "text", "clean_html", "nodes"])
+                columns.append(pa.array([p["parse_error"] for p in pages_out], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*carried, "title", "text", "clean_html", "nodes", "parse_error"])
 
-    return source.mapInArrow(parse, f"{fields}, title string, text string, clean_html string, nodes array<{_NODE_DDL}>")
+    return source.mapInArrow(parse, f"{fields}, title string, text string, clean_html string, nodes array<{_NODE_DDL}>, parse_error string")
 
 
 def node_rows(parsed: DataFrame) -> DataFrame:
     """One row per element, for ad-hoc analysis."""
-    keys = [c for c in parsed.columns if c not in {"title", "text", "clean_html", "nodes"}]
+    keys = [c for c in parsed.columns if c not in {"title", "text", "clean_html", "nodes", "parse_error"}]
     return parsed.select(*keys, F.explode("nodes").alias("n")).select(*keys, "n.*")
 
 
@@ -273,15 +282,19 @@ def classify_job_hrefs(links: DataFrame, href: str = "href", out: str = "is_job_
     return links.withColumn(out, is_job_href(F.col(href)))
 
 
-def _job_links(pattern: str, cap: int, base: str) -> Column:
-    """Canonical URLs of the first ``cap`` links whose address or text matches, document order."""
+def _first(items: Column, cap: int | None) -> Column:
+    return items if cap is None else F.slice(items, 1, cap)
+
+
+def _job_links(pattern: str, cap: int | None, base: str) -> Column:
+    """Canonical URLs of the (first ``cap``) links whose address or text matches, document order."""
     anchors = F.filter("nodes", lambda n: (n["tag"] == "a") & (_href(n) != "") & _under(n, "main", "article", "section", "div"))
     hits = F.filter(anchors, lambda n: _href(n).rlike(pattern) | F.coalesce(n["label"], F.lit("")).rlike(pattern))
     urls = F.transform(hits, lambda n: U.canonical(F.col(base), _href(n)))
-    return F.slice(F.filter(urls, lambda u: u.isNotNull() & (u != "")), 1, cap)
+    return _first(F.filter(urls, lambda u: u.isNotNull() & (u != "")), cap)
 
 
-def ordered_job_links(parsed: DataFrame, pattern: str = KEYWORDS, cap: int = 200, base: str = "url", key: str = "page_id") -> DataFrame:
+def ordered_job_links(parsed: DataFrame, pattern: str = KEYWORDS, cap: int | None = None, base: str = "url", key: str = "page_id") -> DataFrame:
     """Job links per page in document order (``pos``, ``url``); repeats stay."""
     return parsed.select(key, F.posexplode(_job_links(pattern, cap, base)).alias("pos", "job_link")).withColumnRenamed("job_link", "link")
 
@@ -298,23 +311,23 @@ def job_list_len(parsed: DataFrame, key: str = "page_id") -> DataFrame:
     return parsed.select(key, _list_len().alias("n"))
 
 
-def _text_fingerprint(cap: int) -> Column:
+def _text_fingerprint(cap: int | None) -> Column:
     def is_item(n: Column) -> Column:
         listitem = _attr(n, "role") == "listitem"
         return (_under(n, "main") & (listitem | n["tag"].isin("article", "li"))) | (
             _under(n, "section") & (listitem | (n["tag"] == "article")))
 
-    items = F.slice(F.filter("nodes", is_item), 1, cap)
+    items = _first(F.filter("nodes", is_item), cap)
     return F.sha1(F.array_join(F.transform(items, _text_of), "\n\n"))
 
 
-def page_text_fingerprint(parsed: DataFrame, cap: int = 50, key: str = "page_id") -> DataFrame:
-    """SHA-1 of the first ``cap`` item texts, joined by blank lines."""
+def page_text_fingerprint(parsed: DataFrame, cap: int | None = None, key: str = "page_id") -> DataFrame:
+    """SHA-1 of the (first ``cap``) item texts, joined by blank lines."""
     return parsed.select(key, _text_fingerprint(cap).alias("text_fp"))
 
 
 def results_fingerprint(
-    parsed: DataFrame, pattern: str = KEYWORDS, cap: int = 60, key: str = "page_id", base: str = "url",
+    parsed: DataFrame, pattern: str = KEYWORDS, cap: int | None = None, key: str = "page_id", base: str = "url",
     scroll_h: str | None = None,
 ) -> DataFrame:
     """State of a result page: URL, text fingerprint, number of job links, scroll height."""
@@ -322,7 +335,7 @@ def results_fingerprint(
     return parsed.select(
         key,
         F.coalesce(U.normalized(F.col(base)), F.col(base)).alias("url"),
-        _text_fingerprint(50).alias("text_fp"),
+        _text_fingerprint(cap).alias("text_fp"),
         F.size(_job_links(pattern, cap, base)).alias("job_count"),
         height.alias("scroll_h"),
     )
@@ -340,7 +353,7 @@ def _pagination_flags() -> dict[str, Column]:
     # Wording of "load more" and "next" controls.
     more_button = "(?i)load more|show more|see more|view more"
     more_other = "(?i)load more|show more"
-    aria_more = "(?i)load more|show more"
+    aria_more = "load more|show more"  # attribute values are compared as they are written
 
     def is_more(n: Column) -> Column:
         button = n["tag"] == "button"
@@ -413,7 +426,7 @@ def _collapsed(markup: Column) -> Column:
 
 def reduce_lite(pages: DataFrame, html: str = "html", out: str = "lite_html") -> DataFrame:
     """Raw HTML without script, style, noscript and template, white space collapsed."""
-    bare = F.regexp_replace(F.col(html), r"(?is)<(script|style|noscript|template)\b.*?</\1\s*>", "")
+    bare = F.regexp_replace(F.col(html), r"(?is)<(script|style|noscript|template)(?=[\s/>]).*?</\1\s*>", "")
     bare = F.regexp_replace(bare, r"(?is)^\s*<!doctype[^>]*>", "")
     return pages.withColumn(out, F.concat(F.lit('<!doctype html><meta charset="utf-8">'), _collapsed(bare)))
 
@@ -463,7 +476,7 @@ def reduce_focus(
     """Keep the best-scoring containers of a page.
 
     Per page ``focus_html``, the ``signals`` of the kept containers, ``kept_count`` and
-    ``total_candidates``. ``job_link_boost=0`` and ``top_n=3`` give the older, plainer reduction.
+    ``total_candidates``; what the other containers hold, and those of up to ``min_text`` characters, is left out. ``job_link_boost=0`` and ``top_n=3`` give the older, plainer reduction.
     """
     spans = F.col("_ignored")
 
@@ -500,8 +513,13 @@ def reduce_focus(
     def repetition(c: Column) -> Column:
         descendants = F.slice(F.col("nodes"), c["id"] + 2, c["last"] - c["id"])
         kids = F.filter(descendants, lambda d: (d["parent"] == c["id"]) & alive(d))
-        share = F.size(F.filter(kids, lambda d: d["tag"] == kids[0]["tag"])) / F.size(kids)
-        return F.when((c["n_children"] > 3) & (F.size(kids) > 3), share).otherwise(F.lit(0.0))
+
+        def share(tags: Column) -> Column:
+            same = F.size(F.filter(tags, lambda t: t == tags[0])) / F.size(tags)
+            return F.when(F.size(tags) > 3, same).otherwise(F.lit(0.0))
+
+        # Children are listed once per candidate, not once per child.
+        return F.when(c["n_children"] > 3, let(F.transform(kids, lambda d: d["tag"]), share)).otherwise(F.lit(0.0))
 
     def measured(c: Column) -> Column:
         own = inside(F.col("_links"), c)

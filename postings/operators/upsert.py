@@ -191,22 +191,14 @@ def _merged(now: dt.datetime, old: str, new: str) -> list[Column]:
     return out
 
 
-def upsert_jobs(current: DataFrame, batch: DataFrame, now: dt.datetime, small_batch: bool = False) -> DataFrame:
+def upsert_jobs(current: DataFrame, batch: DataFrame, now: dt.datetime) -> DataFrame:
     """Next state of the jobs table.
 
     Both sides hold each ``job_url`` once (see :func:`dedupe_batch`), so no join key is hot. The
-    full outer join shuffles the stored table once. With ``small_batch`` the untouched rows come
-    from an anti join and only batch rows look up their old state: a batch within the session's
-    broadcast threshold then leaves the stored table unshuffled (beyond it Spark sorts and merges).
+    full outer join shuffles the stored table once.
     """
-    if not small_batch:
-        joined = current.alias("o").join(batch.alias("n"), F.col("o.job_url") == F.col("n.job_url"), "full_outer")
-        return joined.select(*_merged(now, "o", "n"))
-    keys = batch.select("job_url")
-    untouched = current.join(keys, "job_url", "left_anti").select(*JOBS.fieldNames())
-    touched = current.join(keys, "job_url", "left_semi").alias("o")
-    changed = batch.alias("n").join(touched, F.col("o.job_url") == F.col("n.job_url"), "left")
-    return untouched.unionByName(changed.select(*_merged(now, "o", "n")))
+    joined = current.alias("o").join(batch.alias("n"), F.col("o.job_url") == F.col("n.job_url"), "full_outer")
+    return joined.select(*_merged(now, "o", "n"))
 
 
 def upsert_summary(saved: DataFrame, rejected: DataFrame, non_objects: DataFrame | None = None) -> DataFrame:

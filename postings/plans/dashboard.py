@@ -1,5 +1,5 @@
-"""Dashboard reports. They describe whatever rows they are given: the newest ``limit`` rows of
-:func:`scan_errors`, or the whole table with ``limit=None``."""
+"""Dashboard reports. They describe whatever rows they are given: all rows of :func:`scan_errors`, or the
+newest ``limit`` of them."""
 
 from __future__ import annotations
 
@@ -15,7 +15,7 @@ NEWEST_FIRST = ["domain", "component", "stage", "error_type", "message"]
 
 def scan_errors(
     logs: DataFrame, as_of: dt.datetime, domain: str | None = None, hours: int | None = None, component: str | None = None,
-    severity: str | None = None, limit: int | None = 1000,
+    severity: str | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Errors matching all given filters, newest first."""
     out = logs

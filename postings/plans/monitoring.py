@@ -23,8 +23,11 @@ def cutoff(df: DataFrame, column: str, when: dt.datetime) -> Column:
 
 
 def since(df: DataFrame, as_of: dt.datetime, column: str = "created_at", **age: int) -> DataFrame:
-    """Rows younger than an age such as ``days=7``."""
-    return df.filter(F.col(column) > cutoff(df, column, as_of - dt.timedelta(**age)))
+    """Rows younger than an age such as ``days=7``; a log's ``day`` gets the same bound, so older folders are not opened."""
+    start = as_of - dt.timedelta(**age)
+    if column == "created_at" and "day" in df.columns:
+        df = df.filter(F.col("day") >= F.lit(start.date()))
+    return df.filter(F.col(column) > cutoff(df, column, start))
 
 
 def meta(key: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,19 +29,21 @@ def is_folder(spark: SparkSession, path: str) -> bool:
 # ---- logs ----------------------------------------------------------------------------------
 
 
-def _append_log(df: DataFrame, path: str, schema: T.StructType) -> None:
+def write_log(df: DataFrame, path: str, schema: T.StructType, batch: str) -> None:
+    """Write rows under ``day=.../batch=...``. Writing the same batch again replaces its own files only."""
     rows = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    rows.withColumn("day", F.to_date("created_at")).hint("rebalance", "day").write.mode("append").partitionBy("day").parquet(path)
+    placed = rows.withColumns({"day": F.to_date("created_at"), "batch": F.lit(batch)}).hint("rebalance", "day")
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(path)
 
 
 def append_error_logs(df: DataFrame, path: str) -> None:
     """Append to the error log, one folder per day."""
-    _append_log(df, path, ERROR_LOGS)
+    write_log(df, path, ERROR_LOGS, uuid.uuid4().hex)
 
 
 def append_process_logs(df: DataFrame, path: str) -> None:
     """Append to the process log, one folder per day."""
-    _append_log(df, path, PROCESS_LOGS)
+    write_log(df, path, PROCESS_LOGS, uuid.uuid4().hex)
 
 
 def jsonl_schema(schema: T.StructType) -> T.StructType:
@@ -54,16 +58,17 @@ def conform_jsonl(df: DataFrame) -> DataFrame:
 def _read_log(spark: SparkSession, table: str | None, jsonl_dir: str | None, schema: T.StructType) -> DataFrame:
     parts = []
     if table and path_exists(spark, table):
-        parts.append(spark.read.parquet(table).select(*schema.fieldNames()))
+        parts.append(spark.read.parquet(table).select(*schema.fieldNames(), "day"))
     if jsonl_dir and path_exists(spark, jsonl_dir):
-        parts.append(conform_jsonl(spark.read.schema(jsonl_schema(schema)).json(jsonl_dir)))
+        lines = conform_jsonl(spark.read.schema(jsonl_schema(schema)).json(jsonl_dir))
+        parts.append(lines.withColumn("day", F.to_date("created_at")))
     if not parts:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame([], schema).withColumn("day", F.to_date("created_at"))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def read_error_logs(spark: SparkSession, table: str | None, jsonl_dir: str | None = None) -> DataFrame:
-    """Table rows and the lines that fell back to files."""
+    """Table rows and the lines that fell back to files, with their ``day``: bounds on it skip whole folders."""
     return _read_log(spark, table, jsonl_dir, ERROR_LOGS)
 
 
@@ -74,8 +79,8 @@ def read_process_logs(spark: SparkSession, table: str | None, jsonl_dir: str | N
 # ---- snapshots -----------------------------------------------------------------------------
 
 
-def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
-    """Complete versions under ``root``; a version counts once its ``_SUCCESS`` marker is there."""
+def _snapshots(spark: SparkSession, root: str) -> list[tuple[int, str, str]]:
+    """(version, tag, folder) of the complete versions under ``root``, oldest first."""
     target, fs = _hadoop(spark, root)
     if not fs.exists(target):
         return []
@@ -83,25 +88,38 @@ def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
     for status in fs.listStatus(target):
         name = status.getPath().getName()
         if name.startswith("v=") and path_exists(spark, f"{root}/{name}/_SUCCESS"):
-            found.append(int(name[2:]))
+            version, _, tag = name[2:].partition("~")
+            found.append((int(version), tag, f"{root}/{name}"))
     return sorted(found)
 
 
+def snapshot_versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions under ``root``; a version counts once its ``_SUCCESS`` marker is there."""
+    return [version for version, _, _ in _snapshots(spark, root)]
+
+
 def read_snapshot(spark: SparkSession, root: str, schema: T.StructType, before: int | None = None) -> DataFrame:
     """Newest complete version (older than ``before``, when given); empty when there is none."""
-    versions = [v for v in snapshot_versions(spark, root) if before is None or v < before]
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/v={versions[-1]}")
+    folders = [path for version, _, path in _snapshots(spark, root) if before is None or version < before]
+    return spark.read.schema(schema).parquet(folders[-1]) if folders else spark.createDataFrame([], schema)
+
 
+def write_snapshot(df: DataFrame, root: str, version: int | None = None, tag: str = "", keep: int | None = None) -> bool:
+    """Write a version (the next one by default) once; False when it, or one of the same ``tag``, is complete already.
 
-def write_snapshot(df: DataFrame, root: str, version: int) -> bool:
-    """Write a version once; False when it is complete already. A path being read is never touched:
-    every version has its own folder, and a half-written one is overwritten by the retry."""
+    A path being read is never touched: every version has its own folder, and a half-written one is overwritten by
+    the retry. The tag is part of the folder's name, so a version and the fact of what it holds become
+    visible together. ``keep``: how many of the newest versions stay; readers of older ones must be done.
+    """
     spark = df.sparkSession
-    if version in snapshot_versions(spark, root):
+    known = _snapshots(spark, root)
+    if version in [v for v, _, _ in known] or (tag and tag in [t for _, t, _ in known]):
         return False
-    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    number = version if version is not None else max([v for v, _, _ in known], default=-1) + 1
+    df.write.mode("overwrite").parquet(f"{root}/v={number}" + (f"~{tag}" if tag else ""))
+    for _, _, folder in known[:max(0, len(known) + 1 - keep)] if keep else []:
+        target, fs = _hadoop(spark, folder)
+        fs.delete(target, True)
     return True
 
 

@@ -63,6 +63,24 @@ def test_reparsing_clean_markup_changes_nothing(spark):
     assert (second.text, second.clean_html, second.nodes) == (first.text, first.clean_html, first.nodes)
 
 
+def test_odd_markup_loses_nothing(spark):
+    page = nodes_of(spark, "<div>a<![foo[ x ]]></div><p>c</p>")
+    assert page.text.startswith("a") and page.text.endswith("c") and page.parse_error is None
+    lite = P.reduce_lite(spark.createDataFrame([("<div><template-card>KEEP</template-card><p>mid</p><template>t</template>Z</div>",)], "html string")).first().lite_html
+    assert lite.endswith("<div><template-card>KEEP</template-card><p>mid</p>Z</div>")
+
+
+def test_long_pages_in_parts(spark):
+    from postings.operators.extraction import build_extraction_requests, split_long_pages
+
+    pages = spark.createDataFrame([(1, "x" * 95), (2, None), (3, "y" * 30), (4, "z" * 31)], "page int, html string")
+    parts = split_long_pages(pages, 30, overlap=10).orderBy("page", "part").collect()
+    assert [(r.page, r.part, len(r.html)) for r in parts if r.page != 1] == [(2, 0, 0), (3, 0, 30), (4, 0, 30), (4, 1, 11)]
+    own = [r.html for r in parts if r.page == 1]
+    assert own[0] + "".join(p[10:] for p in own[1:]) == "x" * 95 and max(map(len, own)) == 30
+    assert not build_extraction_requests(pages, "p").filter("truncated").count()
+
+
 def test_links(parsed):
     links = [r.link for r in P.ordered_job_links(parsed).orderBy("pos").collect()]
     assert links == ["https://e.com/jobs/1", "https://e.com/jobs/2", "https://boards.greenhouse.io/x"]

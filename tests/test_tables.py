@@ -8,17 +8,20 @@ from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
 from checks.registry import ORACLES, QUERIES
+from postings.operators.extraction import results_of, with_decoded_json
 from postings.operators import logs as H
 from postings.operators import pages as P
 from postings.operators import upsert as G
 from postings.plans import dashboard as D
 from postings.plans import monitoring as M
-from postings.plans.load import records_from_jobs
+from postings.plans.load import jobs_from_responses, records_from_jobs
 from postings.schemas import ERROR_LOGS, JOBS
 from postings.session import scratch_dir
 from postings.sources import captures as C
 from postings.sources import seeds as S
 from postings.sources import tables as T
+from postings.streaming import jobs as SJ
+from postings.streaming import logs as SL
 
 NOW = dt.datetime(2026, 1, 8, 12)
 SMALL = "/root/testdata/sf0.001"
@@ -78,22 +81,21 @@ def test_batch_keeps_the_richest_per_url(spark):
     assert [r.title for r in batch.collect()] == ["rich"]
 
 
-@pytest.mark.parametrize("small", [False, True])
-def test_upsert(spark, small):
+def test_upsert(spark):
     day1, day2 = dt.datetime(2026, 1, 1), dt.datetime(2026, 1, 5)
     empty = spark.createDataFrame([], JOBS)
-    first = G.upsert_jobs(empty, records(spark, ("a", "A", "Acme", None, None, 1), ("b", "B", None, None, None, 1)), day1, small)
+    first = G.upsert_jobs(empty, records(spark, ("a", "A", "Acme", None, None, 1), ("b", "B", None, None, None, 1)), day1)
     stored = first.withColumn("first_seen_at", F.when(F.col("job_url") == "b", None).otherwise(F.col("first_seen_at")))
     stored = spark.createDataFrame(stored.collect(), JOBS)
     batch = records(spark, ("a", "A2", None, None, None, 1), ("b", "B", None, None, None, 1), ("c", "C", None, None, None, 1))
-    got = {r.job_url: r for r in G.upsert_jobs(stored, batch, day2, small).collect()}
+    got = {r.job_url: r for r in G.upsert_jobs(stored, batch, day2).collect()}
     assert (got["a"].title, got["a"].company, got["a"].first_seen_at, got["a"].last_seen_at) == ("A2", "Acme", day1, day2)
     assert (got["b"].first_seen_at, got["b"].last_seen_at) == (None, day2)
     assert got["c"].first_seen_at == day2
     # again: nothing moves
-    again = G.upsert_jobs(spark.createDataFrame(list(got.values()), JOBS), batch, day2, small)
+    again = G.upsert_jobs(spark.createDataFrame(list(got.values()), JOBS), batch, day2)
     assert sorted(again.collect()) == sorted(got.values())
-    untouched = G.upsert_jobs(stored, records(spark, ("c", "C", None, None, None, 1)), day2, small).filter("job_url = 'a'").first()
+    untouched = G.upsert_jobs(stored, records(spark, ("c", "C", None, None, None, 1)), day2).filter("job_url = 'a'").first()
     assert (untouched.title, untouched.last_seen_at) == ("A", day1)
 
 
@@ -200,6 +202,81 @@ def test_snapshots(spark):
     assert (T.read_snapshot(spark, root, rows(1).schema).count(), T.read_snapshot(spark, root, rows(1).schema, before=1).count()) == (4, 3)
 
 
+def test_snapshot_tags_and_retention(spark):
+    root = scratch_dir(spark, "snap")
+    rows = lambda n: spark.range(n).toDF("n")
+    assert T.write_snapshot(rows(1), root, tag="a-0") and not T.write_snapshot(rows(9), root, tag="a-0")
+    assert T.write_snapshot(rows(2), root, tag="b-0") and T.write_snapshot(rows(3), root)
+    assert T.snapshot_versions(spark, root) == [0, 1, 2]
+    assert T.write_snapshot(rows(4), root, tag="b-1", keep=2)
+    assert T.snapshot_versions(spark, root) == [2, 3] and T.read_snapshot(spark, root, rows(1).schema).count() == 4
+
+
+def _stream_of(spark, rows, folder):
+    rows.coalesce(1).write.mode("append").json(folder)
+    return spark.readStream.schema(rows.schema).json(folder)
+
+
+def test_upsert_streams_lose_nothing(spark):
+    root, now = scratch_dir(spark, "upsert"), [dt.datetime(2024, 1, 1)]
+    blank = {f.name: F.lit(None).cast(f.dataType) for f in JOBS.fields}
+
+    def record(url):
+        given = blank | {"job_url": F.lit(url), "title": F.lit("t"), "country": F.lit("Unknown"), "source_domain": F.lit("d"), "raw_job": F.lit("{}")}
+        return spark.range(1).select(*[c.alias(n) for n, c in given.items()])
+
+    for k, url in enumerate(["https://d/1", "https://d/2"]):  # two streams, each with a checkpoint of its own
+        source = _stream_of(spark, record(url), f"{root}/in{k}")
+        SJ.stream_upsert(source, f"{root}/jobs", f"{root}/cp{k}", lambda: now[0]).awaitTermination()
+        now[0] += dt.timedelta(days=1)
+    rows = {r.job_url: r.last_seen_at for r in T.read_snapshot(spark, f"{root}/jobs", JOBS).collect()}
+    assert rows == {"https://d/1": dt.datetime(2024, 1, 1), "https://d/2": dt.datetime(2024, 1, 2)}
+
+
+def test_error_stream_shares_the_layout_and_prunes(spark):
+    root = scratch_dir(spark, "ingest")
+    base = {f.name: F.lit("x").cast(f.dataType) for f in ERROR_LOGS.fields}
+    base |= {"component": F.lit("llm"), "stage": F.lit("parse"), "error_type": F.lit("timeout"), "severity": F.lit("error"), "url": F.lit("https://d/"), "metadata": F.lit("{}")}
+    rows = spark.range(4).select(*[c.alias(n) for n, c in base.items() if n != "created_at"], F.expr("timestamp'2024-01-01' + make_interval(0, 0, 0, CAST(id AS INT))").alias("created_at"))
+    T.append_error_logs(rows, f"{root}/log")
+    lines = rows.withColumns({"metadata": F.parse_json("metadata"), "created_at": F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss")})
+    for k in range(2):
+        lines.coalesce(1).write.mode("append").json(f"{root}/in{k}")
+        SL.stream_error_logs(SL.read_error_stream(spark, f"{root}/in{k}"), f"{root}/log", f"{root}/cp{k}").awaitTermination()
+    logs = T.read_error_logs(spark, f"{root}/log")
+    assert logs.count() == 12
+    late = M.since(logs, dt.datetime(2024, 1, 5), days=2)
+    assert late.count() == 3 and "day" in plan(late).split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_extraction_asks_once(spark):
+    root = scratch_dir(spark, "ask")
+
+    def call(text):
+        import uuid
+
+        open(f"{root.removeprefix('file:')}-{uuid.uuid4().hex}", "w").close()
+        if "Repair" in text:
+            return '{"jobs": [{"title": "T", "job_url": "/j"}]}'
+        if "FAIL" in text:
+            raise RuntimeError("no quota")
+        return "sorry, no" if "ODD" in text else '{"jobs": []}'
+
+    rows = [("1", "d", "https://d/1", "t", "fine"), ("2", "d", "https://d/2", "t", "ODD"), ("2", "d", "https://d/2", "t", "ODD"), ("3", "d", "https://d/3", "t", "FAIL")]
+    pages = spark.createDataFrame(rows, "page string, domain string, url string, title string, html string")
+    for _ in range(2):  # the second time everything is there
+        answers = SJ.ask_model(pages, call, "Extract.", root, max_retries=0).cache()
+        assert answers.count() == 4
+    import glob
+
+    assert len(glob.glob(f"{root.removeprefix('file:')}-*")) == 6
+    jobs, errors = jobs_from_responses(answers)
+    assert jobs.count() == 1 and errors.count() == 0  # both rows of page 2 hold the same posting
+    page = {r.page: r.error for r in results_of(with_decoded_json(answers)).collect()}
+    assert page["3"] == "no quota" and page["1"] is None
+    answers.unpersist()
+
+
 def test_empty_logs(spark):
     logs = spark.createDataFrame([], ERROR_LOGS)
     assert D.error_summary(logs).count() == 0

@@ -209,8 +209,8 @@ def g08b(spark, sf):
 
 
 def g09(spark, sf):
-    saved, rejected = _records(spark, sf, "O")
-    return G.upsert_summary(saved, rejected)
+    both = [_records(spark, sf, status) for status in "FO"]
+    return G.upsert_summary(both[0][0].unionByName(both[1][0]), both[0][1].unionByName(both[1][1]))
 
 
 _LOCATION = (
@@ -304,13 +304,14 @@ def _country_sql() -> str:
     text = _squash("location")
     last = f"trim(split_part({text}, ',', -1))"
     quoted = lambda items: ", ".join(f"'{i}'" for i in items)
-    names = "|".join(K.COUNTRIES)
-    mention = f"lower(regexp_extract({text}, '{K._mention_pattern()}', 1))"
-    alias = " ".join(f"WHEN lower({last}) IN ({quoted(a)}) THEN '{c}'" for c, a in K.COUNTRY_ALIASES.items())
-    full = " ".join(f"WHEN '{c.lower()}' THEN '{c}'" for c in K.COUNTRIES)
-    assert names
-    return (f"coalesce(CASE WHEN {last} IN ({quoted(K.US_STATES)}) AND contains({text}, ',') THEN 'United States' {alias} END, "
-            f"CASE lower({last}) {full} END, CASE {mention} {full} END, 'Unknown')")
+    # Of all countries, those that occur in the nation table besides the common ones.
+    names = [*K.COUNTRIES, "Algeria", "Ethiopia", "Iran", "Iraq", "Jordan", "Morocco", "Mozambique", "Peru", "Russia"]
+    mention = f"lower(regexp_extract({text}, '{K.mention_pattern(names)}', 1))"
+    state = f"{last} IN ({quoted(K.US_STATES)}) AND contains({text}, ',')"
+    alias = " ".join(f"WHEN lower({last}) IN ({quoted(a)}) AND NOT ({state}) THEN '{c}'" for c, a in K.COUNTRY_ALIASES.items())
+    full = " ".join(f"WHEN '{c.lower()}' THEN '{c}'" for c in names)
+    return (f"coalesce(CASE {alias} END, CASE lower({last}) {full} END, CASE {mention} {full} END, "
+            f"CASE WHEN {state} THEN 'United States' END, 'Unknown')")
 
 
 def _rules_sql(text: str, rules, default: str) -> str:
@@ -373,7 +374,7 @@ SELECT page, pos, CASE l_linenumber WHEN 5 THEN 'J' || l_partkey WHEN 6 THEN ' '
     "g08a_upsert_jobs": _UPSERT,
     "g08b_upsert_small_batch": _UPSERT,
     "g09_upsert_summary": _TYPED + """ SELECT domain, count(*) FILTER (WHERE reasons = '') AS jobs_saved, count(*) FILTER (WHERE reasons <> '') AS skipped,
-count(*) FILTER (WHERE reasons <> '') AS validation_errors FROM checked WHERE l_linestatus = 'O' GROUP BY domain""",
+count(*) FILTER (WHERE reasons <> '') AS validation_errors FROM checked GROUP BY domain""",
     "k01_infer_country": f"SELECT c_custkey, location, {_country_sql()} AS country FROM (SELECT c_custkey, {_LOCATION} AS location FROM customer JOIN nation ON c_nationkey = n_nationkey) q",
     "k02_infer_category": f"SELECT p_partkey, title, {_rules_sql('lower(title)', K.CATEGORY_RULES, 'Other')} AS team_or_category FROM (SELECT p_partkey, {_TITLE} AS title FROM part) q",
     "k03_infer_seniority": f"SELECT *, CASE seniority_bucket WHEN 'staff' THEN 'senior' ELSE seniority_bucket END AS normalized FROM (SELECT p_partkey, title, {_SENIORITY} AS seniority_bucket FROM (SELECT p_partkey, {_TITLE} AS title FROM part) q) r",

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.functions.text import WS, squash
@@ -66,26 +68,39 @@ def _first_match(text: Column, rules: list[tuple[str, str]], default: str) -> Co
     return out.otherwise(F.lit(default))
 
 
-def _mention_pattern() -> str:
-    """Full country names as one alternation; names never start inside a word."""
-    return "(?i)(?:^|[^a-z])(" + "|".join(COUNTRIES) + r")(?:[^a-z]|\z)"
+def country_names(spark: SparkSession) -> list[str]:
+    """The names above and all other countries of ISO 3166, by their English names in the JVM's own table."""
+    locale = spark._jvm.java.util.Locale
+    listed = [locale("", code).getDisplayCountry(locale.ENGLISH) for code in locale.getISOCountries()]
+    known = {c.lower() for c in COUNTRIES} | {a for names in COUNTRY_ALIASES.values() for a in names}
+    plain = [n.replace("\u2019", "'").replace(" & ", " and ") for n in listed]
+    return [*COUNTRIES, *[n for n in plain if n.lower() not in known and n.lower() != "georgia"], "Georgia"]
+
+
+def mention_pattern(names: list[str]) -> str:
+    """Full country names as one alternation, longer ones first; names never start or end inside a word."""
+    ordered = sorted((n for n in names if n != "Georgia"), key=len, reverse=True)  # Georgia alone may be the state
+    return r"(?i)(?:^|[^\p{L}])(" + "|".join(re.escape(n) for n in ordered) + r")(?:[^\p{L}]|\z)"
 
 
 def infer_country(jobs: DataFrame, location: str = "location", out: str = "country") -> DataFrame:
     """Full country name from a location, "Unknown" when none can be told.
 
-    The last comma part decides (full name, alias, or upper-case US state code); otherwise the
-    first country named anywhere in the text.
+    The last comma part decides (full name or alias); then the first country named anywhere in the text; then
+    an upper-case US state code as last part. Names are all of ISO 3166.
     """
+    names = country_names(jobs.sparkSession)
     text = squash(F.col(location))
     last = F.trim(F.substring_index(text, ",", -1))
     key = F.lower(last)
-    out_col = F.when(last.isin(US_STATES) & text.contains(","), F.lit("United States"))
+    state = F.when(last.isin(US_STATES) & text.contains(","), F.lit("United States"))
+    out_col = F.when(F.lit(False), F.lit(None).cast("string"))
     for country, aliases in COUNTRY_ALIASES.items():
-        out_col = out_col.when(key.isin(aliases), F.lit(country))
-    mention = F.lower(F.regexp_extract(text, _mention_pattern(), 1))
-    by_name = F.create_map(*[F.lit(x) for c in COUNTRIES for x in (c.lower(), c)])
-    inferred = F.coalesce(out_col, by_name[key], by_name[mention], F.lit("Unknown"))
+        # An upper-case code of two letters after a comma may be a state's, and then is read as one.
+        out_col = out_col.when(key.isin(aliases) & state.isNull(), F.lit(country))
+    mention = F.lower(F.regexp_extract(text, mention_pattern(names), 1))
+    by_name = F.create_map(*[F.lit(x) for c in names for x in (c.lower(), c)])
+    inferred = F.coalesce(out_col, by_name[key], by_name[mention], state, F.lit("Unknown"))
     return jobs.withColumn(out, inferred)
 
 

@@ -39,9 +39,8 @@ def _dirty(spark, sf):
 
 
 def h01(spark, sf):
-    valid, rejected = H.conform_error_records(_dirty(spark, sf))
-    cols = ["event_id", "component", "stage", "severity", F.length("message").alias("n"), "url"]
-    return valid.select(*cols, F.lit("").alias("reasons")).unionByName(rejected.select(*cols, F.array_join("reasons", ",").alias("reasons")))
+    flagged = H.flag_error_records(_dirty(spark, sf))
+    return flagged.select("event_id", "component", "stage", "severity", F.length("message").alias("n"), "url", F.array_join("reasons", ",").alias("reasons"))
 
 
 def h02(spark, sf):

@@ -33,8 +33,8 @@ def metadata_text(df: DataFrame, col: str = "metadata") -> Column:
     return F.coalesce(F.to_json(value), F.lit("{}"))
 
 
-def conform_error_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Normalised error rows, and the rows that break a rule with their ``reasons``.
+def flag_error_records(df: DataFrame) -> DataFrame:
+    """Normalised error rows with the ``reasons`` they would be rejected for: one pass over the input.
 
     Stage becomes lower snake case, the message is trimmed and capped at 5000 characters, an
     unset severity is "error".
@@ -65,8 +65,15 @@ def conform_error_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         "metadata": metadata_text(df),
         "created_at": F.coalesce(F.col("created_at"), F.current_timestamp().cast(df.schema["created_at"].dataType)),
     }
-    valid, rejected = split_rejects(flagged)
-    return valid.withColumns(conformed), rejected.withColumns(conformed)
+    return flagged.withColumns(conformed)
+
+
+def conform_error_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both halves of :func:`flag_error_records`: valid rows, and those that break a rule with their ``reasons``.
+
+    Each half evaluates the input; use the flagged frame, or store it, where both are needed.
+    """
+    return split_rejects(flag_error_records(df))
 
 
 def classify_errors(df: DataFrame, exc_name: str, exc_msg: str, out: str = "error_type") -> DataFrame:

@@ -147,7 +147,8 @@ def richness_score(jobs: DataFrame, out: str = "score") -> DataFrame:
 def dedupe_jobs(jobs: DataFrame, page: str | Sequence[str] = "page", pos: str = "pos") -> DataFrame:
     """Per page and signature keep the richest copy, the earliest of equals.
 
-    The kept copy takes the position of the first one; ``copies`` counts all of them. Input needs
+    The kept copy takes the position of the first one; ``copies`` counts all of them. Copies are reduced within each task
+    before the shuffle and again after it; whole rows do not fit a hash buffer, so both steps sort. Input needs
     ``sig`` and ``score`` (:func:`job_signature`, :func:`richness_score`).
     """
     keys = [page] if isinstance(page, str) else list(page)

@@ -119,8 +119,16 @@ def snapshot(spark, sf):
     return read_snapshot(spark, root, pages.schema)
 
 
+def a01b(spark, sf):
+    """Seeds written to files, read back and grouped."""
+    out = scratch_dir(spark, "seeds")
+    table(spark, sf, "pages").orderBy("page_id").select(F.expr(_LINE).alias("value")).write.text(out)
+    grouped = S.group_seeds_by_domain(S.read_seeds(spark, out))
+    return grouped.groupBy("domain").agg(F.sum(F.size("urls")).alias("n"))
+
+
 QUERIES = {
-    "a01_seeds_from_lines": a01, "a02_group_seeds_by_domain": a02, "a04_write_captures": a04, "a05_capture_paths": a05,
+    "a01_seeds_from_lines": a01, "a01b_read_seeds": a01b, "a02_group_seeds_by_domain": a02, "a04_write_captures": a04, "a05_capture_paths": a05,
     "a06_write_page_json": a06, "a07_skip_processed": a07,
     "b01_with_domain": b01, "b02_canonicalize_links": b02, "b03_normalize_urls": b03, "b04_absolutize_job_urls": b04,
     "b05_flag_valid_urls": b05, "b06_with_company_name": b06, "b07_with_base_name": b07, "b08_with_sha1": b08,
@@ -177,6 +185,7 @@ for _w in ["jobs", "careers", "career", "hiring", "join", "work"]:
 _LABEL = f"trim(regexp_replace(replace(replace({_WORDS}, '-', ' '), '_', ' '), ' +', ' ', 'g'))"
 
 ORACLES = {
+    "a01b_read_seeds": f"WITH {_SEEDS} SELECT lower({_HOST}) AS domain, CAST(count(*) AS BIGINT) AS n FROM seeds GROUP BY 1",
     "a01_seeds_from_lines": f"WITH {_SEEDS} SELECT pos, url FROM seeds",
     "a02_group_seeds_by_domain": f"WITH {_SEEDS} SELECT lower({_HOST}) AS domain, CAST(pos // 100 AS BIGINT) AS block, string_agg(url, ' ' ORDER BY pos) AS urls FROM seeds GROUP BY 1, 2",
     "a04_write_captures": f"WITH {_CAP} SELECT domain, url, page_id, base, sha1(html) AS sha1, CAST(length(html) AS INT) AS n_chars FROM caps",

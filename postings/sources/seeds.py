@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postings.functions.text import strip
@@ -20,16 +20,17 @@ def seeds_from_lines(lines: DataFrame, line: str = "value", pos: str = "pos") ->
 
 
 def read_seeds(spark: SparkSession, path: str) -> DataFrame:
-    """``pos, url`` of a seed file (or of a folder, in path order).
+    """``pos, url`` of a seed file (or of a folder, in path order); ``pos`` grows with file and line.
 
     Lines are numbered without a global sort: a split's byte offset plus the row number within the
-    task grows along the file, since every line takes a byte or more.
+    task grows along the file, since every line takes a byte or more. Only the list of files, a row
+    each, is ranked.
     """
-    lines = spark.read.text(path)
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"))
     row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    offset = F.col("_metadata.file_block_start") + row
-    ordered = lines.select("value", F.struct(F.col("_metadata.file_path").alias("file"), offset.alias("line")).alias("pos"))
-    return seeds_from_lines(ordered)
+    numbered = lines.withColumn("line", F.col("start") + row)
+    ranks = lines.select("file").distinct().withColumn("rank", F.row_number().over(Window.orderBy("file")))
+    return seeds_from_lines(numbered.join(ranks, "file").withColumn("pos", F.col("rank").cast("bigint") * (1 << 44) + F.col("line")))
 
 
 def group_seeds_by_domain(seeds: DataFrame, block: int = 10_000) -> DataFrame:

@@ -142,7 +142,9 @@ def test_seed_files(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     spark.conf.set("spark.sql.files.openCostInBytes", "0")
     try:
-        got = [r.url for r in S.read_seeds(spark, root).orderBy("pos").collect()]
+        seeds = S.read_seeds(spark, root)
+        assert dict(seeds.dtypes)["pos"] == "bigint" and S.group_seeds_by_domain(seeds).count() >= 1
+        got = [r.url for r in seeds.orderBy("pos").collect()]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
         spark.conf.unset("spark.sql.files.openCostInBytes")

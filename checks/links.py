@@ -59,7 +59,7 @@ def a06(spark, sf):
     path = scratch_dir(spark, "pages-json")
     docs = _captures(spark, sf).select("domain", F.col("url").alias("source_url"), F.col("title").alias("page_title"))
     C.write_page_json(docs, path)
-    return spark.read.schema("source_url string, page_title string, domain string").json(path)
+    return spark.read.schema("source_url string, page_title string, domain string").json(path).select("source_url", "page_title", "domain")
 
 
 def a07(spark, sf):

@@ -133,6 +133,18 @@ def c12(spark, sf):
         F.array_join(F.transform("pages", lambda p: F.concat_ws(":", p["page_id"].cast("string"), p["counts"]["list_len"].cast("string"))), ",").alias("pages"))
 
 
+def a08(spark, sf):
+    """Manifests of all pages, then of some domains again, read back."""
+    from postings.session import scratch_dir
+    from postings.sources.captures import write_manifest
+
+    out = scratch_dir(spark, "manifest")
+    entries = with_domain(table(spark, sf, "pages")).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("last_page"))
+    write_manifest(entries, out)
+    write_manifest(entries.filter("n % 2 = 0").withColumn("n", -F.col("n")), out)
+    return spark.read.schema("n bigint, last_page bigint, domain string").json(out).select("domain", "n", "last_page")
+
+
 def c13(spark, sf):
     return P.detect_pagination_controls(_parsed(spark, sf, _CONTROLS))
 
@@ -246,6 +258,7 @@ def g01(spark, sf):
 
 
 QUERIES = {
+    "a08_write_manifest": a08,
     "c01_html_nodes": c01, "c02_ordered_job_links": c02, "c03_job_list_len": c03, "c04_page_text_fingerprint": c04,
     "c05_results_fingerprint": c05, "c06_capture_progress": c06, "c07a_replay_expansion": c07a, "c07b_replay_pagination": c07b,
     "c08a_detect_jobs_present": c08, "c08b_pages_without_jobs": c08b, "c09_classify_job_hrefs": c09, "c10a_reduce_focus": c10,
@@ -312,6 +325,7 @@ ORACLES |= {
   len(regexp_extract_all(html, '<li>')) + len(regexp_extract_all(html, '<article>')) AS n FROM pages)
 SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' ELSE 'expansion' END AS mode, CASE WHEN bool_or(page_id % 2 = 0) THEN 'no_next' ELSE 'none' END AS stop_reason,
   max(ts) AS ts, string_agg(page_id || ':' || n, ',' ORDER BY page_id) AS pages FROM caps GROUP BY domain, seed_base""",
+    "a08_write_manifest": f"SELECT lower({_HOST}) AS domain, CAST(CASE WHEN count(*) % 2 = 0 THEN -count(*) ELSE count(*) END AS BIGINT) AS n, max(page_id) AS last_page FROM pages GROUP BY 1",
     "c13_detect_pagination_controls": "SELECT page_id, contains(url, '/en/') AS has_load_more, regexp_matches(url, '/(de|es)/') AS has_next FROM pages",
     "d01_build_extraction_requests": f"SELECT page_id, false AS truncated, {_REQUEST.format('html')} AS request FROM pages",
     "d02_extract_with_model": f"""SELECT page_id, CASE WHEN n % 5 <> 0 THEN '{{"jobs": [], "chars": ' || n || '}}' END AS response, CAST(CASE WHEN n % 5 = 0 THEN 3 ELSE 1 END AS INT) AS attempts,

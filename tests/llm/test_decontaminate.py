@@ -86,3 +86,18 @@ def test_keys_survive_shifted_windows():
     h = D.mix(np.arange(40, dtype=np.uint64), 3)
     for r in range(D.REPETITIONS):
         assert (D.walk_keys(h, r)[5:20] == D.walk_keys(h[5:], r)[:15]).all()
+
+
+def test_recall_with_a_typo_in_every_second_or_third_word():
+    rnd = random.Random(6)
+    words = ["".join(rnd.choice("abcdefghijklmnoprstu") for _ in range(rnd.randint(3, 9))) for _ in range(3000)]
+    for every, least in ((2, 0.93), (3, 0.98)):
+        found = 0
+        for _ in range(200):
+            item = [rnd.choice(words) for _ in range(rnd.randint(15, 59))]
+            part = ["z" + w[1:] if k % every == every - 1 else w for k, w in enumerate(item)]
+            text = " ".join([rnd.choice(words) for _ in range(20)] + part + [rnd.choice(words) for _ in range(20)]).encode()
+            out = []
+            D._scan(D.Items.of([0], [" ".join(item).encode()]), [0], [text], D.word_table([text]), 0.8, out)
+            found += bool(out)
+        assert found >= least * 200, (every, found)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,3 +49,15 @@ def by_batch(fn: Callable) -> Callable[[Iterator], Iterator]:
                 yield from fn(batch)
 
     return run
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+    """A record batch in pieces of about ``size`` bytes of one column; a longer value is a piece of its own."""
+    first = done = 0
+    for row, value in enumerate(batch.column(column)):
+        done += len(value.as_buffer()) if value.is_valid else 0
+        if done >= size:
+            yield batch.slice(first, row + 1 - first)
+            first, done = row + 1, 0
+    if first < batch.num_rows:
+        yield batch.slice(first)

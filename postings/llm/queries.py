@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from postings.llm import chat, decontaminate, language_model, mixing, quality, repeats, secrets, simhash, toxicity, warc
-from postings.llm.common import read, stored
+from postings.llm import (
+    chat, decontaminate, language_model, mixing, periodic, pieces, quality, repeats, secrets, simhash, spelling, toxicity, warc,
+)
+from postings.llm.common import count_words, read, stored
 from postings.session import scratch_dir
 
 
@@ -64,6 +66,27 @@ def op10_decontaminate(spark, sf):
     return decontaminate.find_leaks(read(spark, sf, "documents"), read(spark, sf, "benchmark"))
 
 
+def op11_periodic_runs(spark, sf):
+    docs = read(spark, sf, "documents")
+    h, n = F.crc32(F.col("doc_id").cast("string").cast("binary")), count_words(F.col("text"))
+    g = F.floor(h / 10)
+    start = F.when(n > 0, g % n)
+    cycle = F.when((h % 10 == 0) & (n > 0), F.struct(start.alias("start"), (1 + F.floor((n - start) / (3 + g % 8))).alias("period")))
+    return periodic.digest(periodic.periodic_runs(docs, cycle=cycle))
+
+
+def op12_sentencepiece(spark, sf):
+    import public_tokenizers
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        model = file.read()
+    return pieces.digest(pieces.encode_pieces(read(spark, sf, "documents"), model))
+
+
+def op13_spelling_variants(spark, sf):
+    return spelling.group_spellings(spelling.vocabulary(read(spark, sf, "documents"), slip=97))
+
+
 QUERIES = {
     "op1_simhash_dedup": op1_simhash_dedup,
     "op2_source_mix": op2_source_mix,
@@ -75,6 +98,9 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_chat_format": op9_chat_format,
     "op10_decontaminate": op10_decontaminate,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLES = {

@@ -34,10 +34,11 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Stretches:
     """Hashes of stretches [start, end) of some bytes; equal stretches have equal hashes wherever they lie."""
 
-    def __init__(self, data: np.ndarray):
+    def __init__(self, data: np.ndarray, symbols: np.ndarray = BYTE):
+        """``symbols``: the scrambled value of each symbol of ``data``, bytes by default."""
         up, self._down = _tables(1 << max(16, int(len(data) + 1).bit_length()))
         self._sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(BYTE[data] * up[:len(data)], out=self._sums[1:])
+        np.cumsum(symbols[data] * up[:len(data)], out=self._sums[1:])
 
     def of(self, start: np.ndarray, end: np.ndarray, salt: int = 1) -> np.ndarray:
         return mix((self._sums[end] - self._sums[start]) * self._down[start], salt)

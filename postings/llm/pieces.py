@@ -15,8 +15,8 @@ their own rows, other columns are not read. The longest text bounds the memory o
 
 from __future__ import annotations
 
-import re
 from heapq import heapify, heappop, heappush
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,10 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.common import by_batch, slices
+from postings.llm.hashing import Stretches, mix
 
 #: Sections remembered per task; the length up to which one is remembered and merged along with others.
 CACHE, SHORT = 300_000, 48
+#: Bytes of text encoded at once.
+SLICE = 3 << 20
 _NEVER = np.int32(2**31 - 1)
+#: Scrambled values of all code points, for hashes of sections.
+_SYMBOLS = mix(np.arange(1, 0x110001, dtype=np.uint64), 9)
 #: What SentencePiece writes for a space: a fixed value.
 MARK = "▁"
 
@@ -51,7 +56,7 @@ class Merger:
                 self._rank[piece] = (-lib.get_score(i), i)
         if len(self._bytes) != 256:
             raise ValueError("the vocabulary has no byte pieces")
-        self._sections = self._cutter()
+        self._kinds = self._cutter()
         self._tables()
         # A character that merges with nothing, to stand before a section when the library encodes it.
         inside = {c for piece in self._rank if len(piece) > 1 for c in piece}
@@ -59,11 +64,9 @@ class Merger:
         self._lead = lib.encode(self._lone)
         self._known: dict[str, list[int]] = {}
 
-    def _cutter(self) -> re.Pattern:
-        """Sections: leading marks and a stretch of characters that pieces join, or one other character.
-
-        Characters that stand side by side in a piece belong together; stretches of different groups never join.
-        """
+    def _cutter(self) -> np.ndarray:
+        """Kind of each character: 1 for the mark, the same number from 2 on for characters that stand side by side in
+        some piece, 0 for those that never do. Stretches of different kinds never join, but for marks before them."""
         several = [piece for piece in self._rank if len(piece) > 1]
         group = {c: c for piece in several for c in piece}
 
@@ -73,19 +76,30 @@ class Merger:
                 c = group[c]
             return c
 
-        cross = any(MARK in piece.lstrip(MARK) for piece in several)  # a mark behind another character: no cut at marks
+        cross = any(MARK in piece.lstrip(MARK) for piece in several)  # a mark behind another character joins like a letter
         for piece in several:
             for a, b in zip(piece, piece[1:]):
                 if cross or a != MARK:
                     group[top(a)] = top(b)
-        groups: dict[str, list[str]] = {}
-        for c in sorted(group):
-            if cross or c != MARK:
-                groups.setdefault(top(c), []).append(c)
-        classes = ["".join(map(re.escape, g)) for g in groups.values()]
-        runs = "|".join(f"[{c}]+" for c in sorted(classes, key=len, reverse=True))
-        # A lone character takes the marks before it along: a piece may be marks and that character.
-        return re.compile(f"{MARK}*(?:{runs})|{MARK}+|." if runs else ".", re.DOTALL)
+        kinds = np.zeros(0x110000, np.int32)
+        number = {t: k for k, t in enumerate(sorted({top(c) for c in group}), 2)}
+        for c in group:
+            kinds[ord(c)] = number[top(c)]
+        if not cross:
+            kinds[ord(MARK)] = 1
+        return kinds
+
+    def _cut(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The texts in one string and its code points; starts and ends of its sections, and the section each text begins with (and the end)."""
+        joined = "".join(texts)
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        kind = self._kinds[code]
+        prior = np.concatenate(([0], kind[:-1]))
+        first = (kind == 0) | ((kind == 1) & (prior != 1)) | ((kind > 1) & (prior != kind) & (prior != 1))
+        bounds = np.cumsum([0, *map(len, texts)])
+        first[bounds[:-1][bounds[:-1] < len(code)]] = True
+        starts = np.flatnonzero(first)
+        return joined, code, starts, np.append(starts[1:], len(code)), np.searchsorted(starts, bounds)
 
     def _tables(self) -> None:
         """Characters and pairs of pieces as arrays, for many sections at a time."""
@@ -117,33 +131,30 @@ class Merger:
 
     def _merge_many(self, sections: list[str]) -> list[list[int]]:
         """Ids of sections of equal length whose characters all are pieces: a row of the agenda for each, in every round
-        the best pair of each row is merged."""
+        the best pair of each row is merged. A symbol stays at the place of its first character."""
         n, width = len(sections), len(sections[0])
-        symbols = np.full((n, width + 1), -1, np.int32)
-        symbols[:, :-1] = self._char[np.array(sections, f"U{width}").view(np.uint32).reshape(n, width)]
+        symbols = np.full((n, width + 2), -1, np.int32)  # a place before and one behind, which pair with nothing
+        symbols[:, 1:-1] = self._char[np.array(sections, f"U{width}").view(np.uint32).reshape(n, width)]
         agenda, piece = self._pairs(symbols[:, :-1], symbols[:, 1:])
-        out: list = [None] * n
-        rows, columns = np.arange(n), np.arange(width)
+        after = np.tile(np.arange(1, width + 3, dtype=np.int32), (n, 1))
+        before = after - 2
+        rows = np.arange(n)
         while len(rows):
-            at = agenda.argmin(axis=1)
-            every = np.arange(len(rows))
-            live = agenda[every, at] != _NEVER
-            if not live.all():
-                for k, ids in zip(rows[~live].tolist(), symbols[~live].tolist()):
-                    out[k] = ids[:ids.index(-1)]
-                rows, symbols, agenda, piece, at = rows[live], symbols[live], agenda[live], piece[live], at[live]
-                every = np.arange(len(rows))
-            merged = piece[every, at]
-            shift = columns + (columns > at[:, None])
-            symbols[:, :-1] = np.take_along_axis(symbols, shift, 1)
-            symbols[every, at] = merged
-            shift = np.minimum(shift, width - 1)
-            agenda, piece = np.take_along_axis(agenda, shift, 1), np.take_along_axis(piece, shift, 1)
-            agenda[every, at], piece[every, at] = self._pairs(merged, symbols[every, at + 1])
-            inner = np.flatnonzero(at > 0)
-            before = at[inner] - 1
-            agenda[inner, before], piece[inner, before] = self._pairs(symbols[inner, before], merged[inner])
-        return out
+            at = agenda.argmin(axis=1)[rows] if len(rows) * 2 > n else agenda[rows].argmin(axis=1)
+            live = agenda[rows, at] != _NEVER
+            rows, at = rows[live], at[live]
+            merged, gone = piece[rows, at], after[rows, at]
+            right, left = after[rows, gone], before[rows, at]
+            symbols[rows, at], symbols[rows, gone], agenda[rows, gone] = merged, -1, _NEVER
+            after[rows, at], before[rows, right] = right, at
+            agenda[rows, at], piece[rows, at] = self._pairs(merged, symbols[rows, right])
+            inner = left > 0
+            rows_in, left = rows[inner], left[inner]
+            agenda[rows_in, left], piece[rows_in, left] = self._pairs(symbols[rows_in, left], merged[inner])
+        kept = symbols >= 0
+        ends = np.cumsum(kept.sum(axis=1)).tolist()
+        flat = symbols[kept].tolist()
+        return [flat[a:b] for a, b in zip([0, *ends], ends)]
 
     def _merge_all(self, sections: list[str]) -> list[list[int]]:
         """Ids of sections, short ones many at a time."""
@@ -190,33 +201,38 @@ class Merger:
                 ids.extend(map(self._bytes.__getitem__, s.encode()))
         return ids
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        """Ids of some texts; sections that are new are checked against the library."""
-        cut = [self._sections.findall(t) for t in map(self.library.normalize, texts)]
-        known = self._known
-        if len(known) > CACHE:
-            known.clear()
-        fresh = list({s for sections in cut for s in sections if s not in known})
-        found = {}
+    def _learn(self, sections: list[str]) -> None:
+        """Ids of sections met for the first time, checked against the library."""
+        fresh = [s for s in sections if s not in self._known]
         for start in range(0, len(fresh), 65_536):
             part = fresh[start:start + 65_536]
-            merged = self._merge_all(part)
-            for s, ids, theirs in zip(part, merged, self.library.encode([self._lone + s for s in part], num_threads=1)):
+            for s, ids, theirs in zip(part, self._merge_all(part), self.library.encode([self._lone + s for s in part], num_threads=1)):
                 if self._lead + ids != theirs:
                     raise ValueError(f"the library encodes {s!r} as {theirs[len(self._lead):]}, the agenda as {ids}")
-                found[s] = ids
-        known.update(found)
-        out = []
-        for sections in cut:
-            ids: list[int] = []
-            for s in sections:
-                ids.extend(known[s])
-            out.append(ids)
-        if found:
-            for s in found:
-                if len(s) > SHORT:
-                    del known[s]
-        return out
+                self._known[s] = ids
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some texts one behind the other, and the places where each text's begin (and the end of all)."""
+        if len(self._known) > CACHE:
+            self._known.clear()
+        joined, code, starts, ends, bounds = self._cut([self.library.normalize(t) for t in texts])
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(len(texts) + 1, np.int64)
+        # Equal sections, by 64 bits of hash, are looked up once.
+        _, sample, which = np.unique(Stretches(code, _SYMBOLS).of(starts, ends), return_index=True, return_inverse=True)
+        sections = [joined[a:b] for a, b in zip(starts[sample].tolist(), ends[sample].tolist())]
+        self._learn(sections)
+        found = [self._known[s] for s in sections]
+        for s in sections:
+            if len(s) > SHORT:
+                self._known.pop(s, None)
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+        at = np.cumsum(sizes) - sizes
+        lengths = sizes[which]
+        behind = np.concatenate(([0], np.cumsum(lengths)))
+        places = np.repeat(at[which] - behind[:-1], lengths) + np.arange(behind[-1])
+        return ids[places], behind[bounds]
 
 
 def _coder(model: bytes):
@@ -224,10 +240,11 @@ def _coder(model: bytes):
         merger = Merger(model)
 
         def scan(batch: pa.RecordBatch):
-            for part in slices(batch, "text"):
-                ids = merger.encode([t or "" for t in part.column("text").to_pylist()])
-                decoded = merger.library.decode(ids, num_threads=1) if ids else []
-                columns = [part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+            for part in slices(batch, "text", SLICE):
+                ids, bounds = merger.encode([t or "" for t in part.column("text").to_pylist()])
+                each = [ids[a:b].tolist() for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids, pa.int32()))
+                columns = [part.column("doc_id"), lists, pa.array(merger.library.decode(each, num_threads=1), pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "decoded"])
 
         yield from by_batch(scan)(batches)

@@ -32,8 +32,14 @@ def texts():
     return [*made, "", " " * 300, "a" * 5000, "\n" * 100, "日本語のテキスト", "print(x)\n    return  y\t\tz", "<0x0A></s>", "▁▁", "x" * 60 + " " + "tion" * 30]
 
 
+def encoded(merger, some):
+    ids, bounds = merger.encode(some)
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])]
+
+
 def test_encode_is_the_librarys(merger):
-    assert merger.encode(texts()) == merger.library.encode(texts())
+    assert encoded(merger, texts()) == merger.library.encode(texts())
+    assert encoded(merger, []) == [] and encoded(merger, ["", ""]) == [[], []]
 
 
 def test_both_agendas_agree(merger):
@@ -56,7 +62,7 @@ def test_many_sections_are_forgotten(model, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE", 10)
     small = pieces.Merger(model)
     for t in texts()[:300]:
-        assert small.encode([t]) == small.library.encode([t])
+        assert encoded(small, [t]) == small.library.encode([t])
 
 
 def test_query_over_the_whole_table(spark, merger):

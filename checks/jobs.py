@@ -15,6 +15,8 @@ from postings.operators import normalize as N
 from postings.operators import upsert as G
 from postings.operators.urls import incomplete_urls
 from postings.schemas import JOBS
+from postings.session import scratch_dir
+from postings.sources.job_table import append_jobs, read_jobs, replace_jobs
 
 # A rare flag on line items, so that some pages are hit and others are not.
 _RARE = "(l_quantity = 50 AND l_linenumber = 7 AND l_discount > 0.085)"
@@ -204,8 +206,14 @@ def g08(spark, sf):
 
 
 def g08b(spark, sf):
-    batch = G.dedupe_batch(_records(spark, sf, "O")[0])
-    return G.upsert_jobs(_current(spark, sf), batch, AS_OF).select(*_UPSERTED)
+    """The same through the bucketed table: batches of a fifth each, some buckets merged on the way."""
+    root = scratch_dir(spark, "job-table")
+    replace_jobs(_current(spark, sf), root, buckets=16)
+    incoming = scratch_dir(spark, "job-batch")
+    G.dedupe_batch(_records(spark, sf, "O")[0]).write.parquet(incoming)
+    for part in range(5):
+        append_jobs(spark.read.parquet(incoming).filter(F.pmod(F.crc32("job_url"), F.lit(5)) == part), root, AS_OF, tag=f"batch-{part}", max_deltas=3)
+    return read_jobs(spark, root).select(*_UPSERTED)
 
 
 def g09(spark, sf):
@@ -214,9 +222,13 @@ def g09(spark, sf):
 
 
 _LOCATION = (
-    "CASE c_custkey % 10 WHEN 0 THEN 'San Francisco, CA' WHEN 1 THEN 'Remote in United States' WHEN 2 THEN n_name || ', UK' "
+    "CASE c_custkey % 26 WHEN 0 THEN 'San Francisco, CA' WHEN 1 THEN 'Remote in United States' WHEN 2 THEN n_name || ', UK' "
     "WHEN 3 THEN 'Amsterdam,  Netherlands ' WHEN 4 THEN 'Offices: ' || c_name || ', Germany and France' WHEN 5 THEN 'Remote' "
-    "WHEN 6 THEN n_name || ', canada' WHEN 7 THEN c_mktsegment || ', TX' WHEN 8 THEN n_name WHEN 9 THEN 'Georgia, GA, U.S.' END"
+    "WHEN 6 THEN n_name || ', canada' WHEN 7 THEN c_mktsegment || ', TX' WHEN 8 THEN n_name WHEN 9 THEN 'Georgia, GA, U.S.' "
+    "WHEN 10 THEN 'Albuquerque, New Mexico' WHEN 11 THEN 'Jersey City, New Jersey' WHEN 12 THEN 'Atlanta, Georgia' WHEN 13 THEN 'Berlin, DE' "
+    "WHEN 14 THEN 'Toronto, CA' WHEN 15 THEN 'Chennai, IN' WHEN 16 THEN 'Bogotá, CO' WHEN 17 THEN 'Indianapolis, Indiana' WHEN 18 THEN 'Tbilisi, Georgia' "
+    "WHEN 19 THEN 'Dover, DE' WHEN 20 THEN 'Remote - New Mexico or Mexico' WHEN 21 THEN 'Kraków, PL' WHEN 22 THEN c_name || ' / ' || n_name "
+    "WHEN 23 THEN 'Mexico, MO' WHEN 24 THEN 'Paris, FRA' WHEN 25 THEN n_name || ' New ' || n_name END"
 )
 _ROLES = (
     "Software Engineer,Senior Software Engineer,Staff Engineer,ML Engineer,Product Designer,SWE Intern,VP of Sales,"
@@ -303,15 +315,25 @@ FROM current_jobs o FULL JOIN batch n ON o.job_url = n.job_url"""
 def _country_sql() -> str:
     text = _squash("location")
     last = f"trim(split_part({text}, ',', -1))"
+    accents = K._ACCENTS
+    normal = lambda c: f"trim(regexp_replace(translate(lower({c}), '{accents[0]}', '{accents[1]}'), '[^\\p{{L}}]+', ' ', 'g'))"
     quoted = lambda items: ", ".join(f"'{i}'" for i in items)
-    # Of all countries, those that occur in the nation table besides the common ones.
+    # Of all countries and codes, those that occur in the rows besides the common ones.
     names = [*K.COUNTRIES, "Algeria", "Ethiopia", "Iran", "Iraq", "Jordan", "Morocco", "Mozambique", "Peru", "Russia"]
-    mention = f"lower(regexp_extract({text}, '{K.mention_pattern(names)}', 1))"
-    state = f"{last} IN ({quoted(K.US_STATES)}) AND contains({text}, ',')"
-    alias = " ".join(f"WHEN lower({last}) IN ({quoted(a)}) AND NOT ({state}) THEN '{c}'" for c, a in K.COUNTRY_ALIASES.items())
-    full = " ".join(f"WHEN '{c.lower()}' THEN '{c}'" for c in names)
-    return (f"coalesce(CASE {alias} END, CASE lower({last}) {full} END, CASE {mention} {full} END, "
-            f"CASE WHEN {state} THEN 'United States' END, 'Unknown')")
+    states = [n for n in K.US_STATE_NAMES if n != "Georgia"]
+    named = {K.normal_name(n): n for n in names} | {K.normal_name(n): "United States" for n in states}
+    codes = {"CA": "Canada", "DE": "Germany", "IN": "India", "CO": "Colombia", "PL": "Poland", "FRA": "France"}
+    head = f"left({text}, length({text}) - length(split_part({text}, ',', -1)))"
+    city = lambda code: f"regexp_matches(' ' || {normal(head)} || ' ', ' (?:{'|'.join(map(K.normal_name, K.CITIES[code]))}) ')"
+    abroad = " ".join(f"WHEN {last} = '{c}' AND {city(c)} THEN '{codes[c]}'" for c in ("CA", "DE", "IN", "CO"))
+    alias = " ".join(f"WHEN {normal(last)} IN ({quoted(map(K.normal_name, a))}) THEN '{c}'" for c, a in K.COUNTRY_ALIASES.items())
+    full = " ".join(f"WHEN '{n}' THEN '{c}'" for n, c in named.items())
+    code = " ".join(f"WHEN '{c}' THEN '{n}'" for c, n in codes.items())
+    longest = "|".join(sorted(named, key=len, reverse=True))
+    mention = f"regexp_extract(' ' || {normal('location')} || ' ', ' ({longest}) ', 1)"
+    return (f"coalesce(CASE WHEN {last} IN ({quoted(K.US_STATES)}) AND contains({text}, ',') THEN CASE {abroad} ELSE 'United States' END END, "
+            f"CASE {alias} END, CASE WHEN {normal(last)} = 'georgia' THEN CASE WHEN contains({text}, ',') AND NOT {city('GE')} THEN 'United States' ELSE 'Georgia' END END, "
+            f"CASE {normal(last)} {full} END, CASE {last} {code} END, CASE {mention} {full} END, 'Unknown')")
 
 
 def _rules_sql(text: str, rules, default: str) -> str:

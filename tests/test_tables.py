@@ -20,6 +20,7 @@ from postings.session import scratch_dir
 from postings.sources import captures as C
 from postings.sources import seeds as S
 from postings.sources import tables as T
+from postings.sources.job_table import read_jobs
 from postings.streaming import jobs as SJ
 from postings.streaming import logs as SL
 
@@ -231,7 +232,7 @@ def test_upsert_streams_lose_nothing(spark):
         source = _stream_of(spark, record(url), f"{root}/in{k}")
         SJ.stream_upsert(source, f"{root}/jobs", f"{root}/cp{k}", lambda: now[0]).awaitTermination()
         now[0] += dt.timedelta(days=1)
-    rows = {r.job_url: r.last_seen_at for r in T.read_snapshot(spark, f"{root}/jobs", JOBS).collect()}
+    rows = {r.job_url: r.last_seen_at for r in read_jobs(spark, f"{root}/jobs").collect()}
     assert rows == {"https://d/1": dt.datetime(2024, 1, 1), "https://d/2": dt.datetime(2024, 1, 2)}
 
 

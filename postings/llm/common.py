@@ -51,7 +51,7 @@ def by_batch(fn: Callable) -> Callable[[Iterator], Iterator]:
     return run
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str | int, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """A record batch in pieces of about ``size`` bytes of one column; a longer value is a piece of its own."""
     first = done = 0
     for row, value in enumerate(batch.column(column)):

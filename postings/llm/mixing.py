@@ -119,12 +119,13 @@ def mix_sources(
 
 
 def apply_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
-    """The rows the mix takes, with their own columns and ``copies``, the times each is used."""
+    """The rows the mix takes, with their own columns and ``copies``, the times each is used (in place of a column of that name)."""
     rows = stored(_sized(docs, id_col, text_col, source_col), "mix-sizes")
     plan = plan_mix(rows, **how).select(_KEY, "full", "last_hash")
-    keyed = docs.withColumns({_KEY: source_key(F.col(source_col)), _H: row_hash(F.col(id_col), F.col(text_col))})
+    # The rows travel as one struct, so that no column of theirs meets one of the plan.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), source_key(F.col(source_col)).alias(_KEY), row_hash(F.col(id_col), F.col(text_col)).alias(_H))
     taken = keyed.join(plan, _KEY).withColumn("copies", _passes()).filter("copies > 0")
-    return taken.select(*docs.columns, "copies")
+    return taken.select(*[F.col("row")[c].alias(c) for c in docs.columns if c != "copies"], "copies")
 
 
 ORACLE = r"""

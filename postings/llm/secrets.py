@@ -152,14 +152,17 @@ def report(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, ledger: str | None = None, text_col: str = "text", mask: str = "[secret]", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows with every found span replaced by ``mask``; a span that overlaps the one before adds to it. Other columns stay."""
+    """The rows with every found span replaced by ``mask``; a span that overlaps the one before adds to it.
+
+    Other columns stay, whatever their names: the rows travel as one struct beside the key.
+    """
     root = ledger or scratch_dir(docs.sparkSession, "ledger")
-    keyed = docs.withColumn("blob", blob_id(F.col(text_col)))
-    update_ledger(keyed.select("blob", F.col(text_col).alias("text")), root, rules)
-    spans = findings(keyed.select("blob").distinct(), root, rules).filter(F.size("spans") > 0).withColumnRenamed("spans", "secret_spans")
-    text = F.col(text_col)
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), blob_id(F.col(text_col)).alias("blob"))
+    update_ledger(docs.select(blob_id(F.col(text_col)).alias("blob"), F.col(text_col).alias("text")), root, rules)
+    spans = findings(keyed.select("blob").distinct(), root, rules).filter(F.size("spans") > 0)
+    text = F.col("row")[text_col]
     cut = F.aggregate(
-        F.col("secret_spans"),
+        F.col("spans"),
         F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out")),
         lambda a, s: F.struct(
             F.greatest(a["at"], s["stop"]).alias("at"),
@@ -167,5 +170,5 @@ def redact(docs: DataFrame, ledger: str | None = None, text_col: str = "text", m
         lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))),
     )
     joined = keyed.join(spans, "blob", "left")
-    clean = F.when(F.col("secret_spans").isNull(), text).otherwise(cut)
-    return joined.select(*[clean.alias(c) if c == text_col else F.col(c) for c in docs.columns])
+    clean = F.when(F.col("spans").isNull(), text).otherwise(cut)
+    return joined.select(*[clean.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

@@ -164,6 +164,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ru
     placed = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
     best = placed.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("best").alias("b"))
     chosen = best.select(F.col("b.key").alias("simhash_key"), F.col("b.mark").alias("simhash_mark"))
-    keyed = docs.withColumns({"simhash_key": key, "simhash_mark": mark})
+    # The rows travel as one struct, so that no column of theirs meets a helper's.
+    keyed = docs.select(F.struct(*docs.columns).alias("row"), key.alias("simhash_key"), mark.alias("simhash_mark"))
     both = ["simhash_key", "simhash_mark"]
-    return keyed.join(chosen, both, "left_semi").dropDuplicates(both).select(*docs.columns)
+    return keyed.join(chosen, both, "left_semi").dropDuplicates(both).select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from postings.llm import decontaminate, minhash, mixing, quality, secrets
+from postings.llm import decontaminate, mixing, quality, secrets, simhash
 from postings.llm.common import read, stored
 
 
@@ -17,9 +17,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filter_quality(docs)
 
 
-def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (0.8 or more of five-word shingles shared), the one with the least id."""
-    return minhash.keep_one(docs)
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies by SimHash (three-word shingles, two bits at most), the one with the least id."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,11 +38,11 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
-    ("quality rules", quality_rules), ("near dedup", near_dedup), ("benchmark decontamination", benchmark_decontamination),
-    ("secret scan", secret_scan), ("source mix", source_mix),
+    ("quality rules", quality_rules), ("SimHash near-dedup", simhash_dedup), ("benchmark decontamination", benchmark_decontamination),
+    ("secret scans", secret_scan), ("source mixing", source_mix),
 ]
 
-#: Least hashes of shingles and CGK walks have no SQL here; tests hold the stages against brute force.
+#: SimHash (XXH64 of shingles) and CGK walks have no SQL here; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

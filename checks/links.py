@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.entities import table
+from checks.files import write_files
 from postings.functions.urls import TRACKING_PARAMS
 from postings.operators import urls as U
+from postings.plans.capture import reduced_captures
 from postings.session import scratch_dir
 from postings.sources import captures as C
 from postings.sources import seeds as S
@@ -44,10 +46,34 @@ def _captures(spark, sf):
     return named.withColumn("page_id", F.format_string("p%03d", F.col("page_id")))
 
 
+def capture_files(spark, sf, root, sidecar: str = "TRUE"):
+    """Captures as files: HTML of every page, a sidecar where the condition holds."""
+    pages = U.with_domain(table(spark, sf, "pages")).withColumn("title", F.expr(_TITLE))
+    place = lambda folder, ext: F.concat(F.lit(f"{root}/"), "domain", F.lit(f"/{folder}/"), F.col("page_id").cast("string"), F.lit(ext))
+    write_files(pages.select(place("reduced_focus", ".html").alias("path"), F.col("html").alias("content")))
+    said = pages.filter(sidecar).withColumn("other", F.col("page_id") % 2 == 0)
+    meta = F.to_json(F.struct(
+        F.when(~F.col("other"), F.col("url")).alias("url"), F.when(F.col("other"), F.col("url")).alias("source_url"), F.when(F.col("other"), F.col("title")).alias("title"),
+        F.struct(F.col("title").alias("title")).alias("reduce_meta")))
+    write_files(said.select(place("meta", ".json").alias("path"), meta.alias("content")))
+
+
+def a03(spark, sf):
+    root = scratch_dir(spark, "capture-files")
+    capture_files(spark, sf, root, "page_id % 4 <> 0")
+    return C.scan_captures(spark, root).select("domain", "stem", "url", "title", F.sha1("html").alias("sha1"))
+
+
 def a04(spark, sf):
+    """All five things kept per page, written and read back."""
     path = scratch_dir(spark, "captures")
-    C.write_captures(_captures(spark, sf), path)
-    return spark.read.parquet(path).select("domain", "url", "page_id", "base", "sha1", F.length("html").alias("n_chars"))
+    pages = table(spark, sf, "pages").withColumn("page_id", F.format_string("p%03d", F.col("page_id")))
+    C.write_captures(reduced_captures(pages), path)
+    meta = lambda name: F.get_json_object("meta", f"$.{name}")
+    return spark.read.parquet(path).select(
+        "domain", "url", "page_id", "base", "sha1", F.length("html").alias("n_chars"), F.sha1("lite_html").alias("lite_sha1"),
+        F.col("focus_html").startswith("<!doctype html>").alias("has_focus"), F.size("signals").alias("n_signals"),
+        meta("reduce_meta.kept_count").alias("kept"), (meta("sha1") == F.col("sha1")).alias("same_sha1"), meta("page_id").alias("meta_page"))
 
 
 def a05(spark, sf):
@@ -56,10 +82,18 @@ def a05(spark, sf):
 
 
 def a06(spark, sf):
+    """Documents with the cleaned postings of each page, written and read back."""
+    from checks.pages import responses
+    from postings.plans.load import jobs_from_responses
+
     path = scratch_dir(spark, "pages-json")
-    docs = _captures(spark, sf).select("domain", F.col("url").alias("source_url"), F.col("title").alias("page_title"))
-    C.write_page_json(docs, path)
-    return spark.read.schema("source_url string, page_title string, domain string").json(path).select("source_url", "page_title", "domain")
+    pages = responses(spark, sf).select("page", "domain", F.col("url").alias("source_url"), F.col("title").alias("page_title"))
+    jobs, _ = jobs_from_responses(responses(spark, sf))
+    C.write_page_json(C.page_documents(jobs.select("page", "pos", "title", "job_url", "company"), pages), path)
+    docs = spark.read.schema("page int, source_url string, page_title string, domain string, jobs array<struct<title:string,job_url:string,company:string>>").json(path)
+    listed = lambda c: F.array_join(F.transform("jobs", lambda j: F.coalesce(j[c], F.lit("-"))), "|")
+    return docs.select(F.col("page").cast("bigint").alias("page"), "source_url", "page_title", "domain", F.size("jobs").alias("n_jobs"),
+                       listed("title").alias("titles"), listed("job_url").alias("urls"), listed("company").alias("companies"))
 
 
 def a07(spark, sf):
@@ -123,12 +157,13 @@ def a01b(spark, sf):
     """Seeds written to files, read back and grouped."""
     out = scratch_dir(spark, "seeds")
     table(spark, sf, "pages").orderBy("page_id").select(F.expr(_LINE).alias("value")).write.text(out)
-    grouped = S.group_seeds_by_domain(S.read_seeds(spark, out))
-    return grouped.groupBy("domain").agg(F.sum(F.size("urls")).alias("n"))
+    grouped = S.group_seeds_by_domain(S.read_seeds(spark, out), block=500)  # positions are byte offsets: many blocks
+    ordered = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("block", "urls"))), lambda b: b["urls"]))
+    return grouped.groupBy("domain").agg(F.array_join(ordered, " ").alias("urls"))
 
 
 QUERIES = {
-    "a01_seeds_from_lines": a01, "a01b_read_seeds": a01b, "a02_group_seeds_by_domain": a02, "a04_write_captures": a04, "a05_capture_paths": a05,
+    "a01_seeds_from_lines": a01, "a01b_read_seeds": a01b, "a02_group_seeds_by_domain": a02, "a03_scan_captures": a03, "a04_write_captures": a04, "a05_capture_paths": a05,
     "a06_write_page_json": a06, "a07_skip_processed": a07,
     "b01_with_domain": b01, "b02_canonicalize_links": b02, "b03_normalize_urls": b03, "b04_absolutize_job_urls": b04,
     "b05_flag_valid_urls": b05, "b06_with_company_name": b06, "b07_with_base_name": b07, "b08_with_sha1": b08,
@@ -179,20 +214,45 @@ _BASE = (f"CASE WHEN {_NAME} IN ('index', 'page') AND {_TITLE} <> '' THEN substr
          "|| '__' || substring(sha1(url), 1, 8)")
 _SEEDS = f"seeds AS (SELECT min(page_id) AS pos, u AS url FROM (SELECT page_id, trim({_LINE}) AS u FROM pages) q WHERE u <> '' AND NOT starts_with(u, '#') GROUP BY u)"
 _CAP = f"caps AS (SELECT lower({_HOST}) AS domain, url, printf('p%03d', page_id) AS page_id, {_BASE} AS base, html FROM pages)"
+# The parsed title has its entities resolved.
+_PLAIN_BASE = _BASE.replace(_TITLE, f"replace({_TITLE}, '&amp;', '&')")
+LITE = """'<!doctype html><meta charset="utf-8">' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<noscript\\b.*?</noscript\\s*>|<template\\b.*?</template\\s*>', '', 'g'), '(?is)^\\s*<!doctype[^>]*>', ''),
+  '[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]{2,}', ' ', 'g'), '>[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]+<', '><', 'g')"""
+
+
+def _text_of(element: str) -> str:
+    """Trimmed text of the one such element of a page."""
+    inner = f"regexp_extract(regexp_replace(html, '(?is)<(?:script|style)\\b.*?</(?:script|style)\\s*>|<!--.*?-->', '', 'g'), '(?s){element}', 1)"
+    plain = f"regexp_replace({inner}, '<[^>]*>', '', 'g')"
+    for name, c in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("middot", "·"), ("copy", "©"), ("nbsp", "\u00a0"), ("#39", "''"), ("amp", "&")):
+        plain = f"replace({plain}, '&{name};', '{c}')"
+    return f"trim({plain}, ' ' || chr(9) || chr(10) || chr(13))"
+
+
+#: Containers with more than 200 characters of text: the article and the box before it.
+FOCUS = (f"CAST((length({_text_of('<article>(.*)</article>')}) > 200)::INT + (length({_text_of('<div class=.ad.>(.*?)</div>')}) > 200)::INT AS INT)")
 _WORDS = "domain_part"
 for _w in ["jobs", "careers", "career", "hiring", "join", "work"]:
     _WORDS = f"replace({_WORDS}, '{_w}', '')"
 _LABEL = f"trim(regexp_replace(replace(replace({_WORDS}, '-', ' '), '_', ' '), ' +', ' ', 'g'))"
 
 ORACLES = {
-    "a01b_read_seeds": f"WITH {_SEEDS} SELECT lower({_HOST}) AS domain, CAST(count(*) AS BIGINT) AS n FROM seeds GROUP BY 1",
+    "a01b_read_seeds": f"WITH {_SEEDS} SELECT lower({_HOST}) AS domain, string_agg(url, ' ' ORDER BY pos) AS urls FROM seeds GROUP BY 1",
     "a01_seeds_from_lines": f"WITH {_SEEDS} SELECT pos, url FROM seeds",
     "a02_group_seeds_by_domain": f"WITH {_SEEDS} SELECT lower({_HOST}) AS domain, CAST(pos // 100 AS BIGINT) AS block, string_agg(url, ' ' ORDER BY pos) AS urls FROM seeds GROUP BY 1, 2",
-    "a04_write_captures": f"WITH {_CAP} SELECT domain, url, page_id, base, sha1(html) AS sha1, CAST(length(html) AS INT) AS n_chars FROM caps",
+    "a03_scan_captures": f"""SELECT lower({_HOST}) AS domain, CAST(page_id AS VARCHAR) AS stem, CASE WHEN page_id % 4 <> 0 THEN url ELSE '' END AS url,
+  CASE WHEN page_id % 4 <> 0 THEN {_TITLE} ELSE '' END AS title, sha1(html) AS sha1 FROM pages""",
+    "a04_write_captures": f"""SELECT lower({_HOST}) AS domain, url, printf('p%03d', page_id) AS page_id, {_PLAIN_BASE} AS base, sha1(html) AS sha1,
+  CAST(length(html) AS INT) AS n_chars, sha1({LITE}) AS lite_sha1, true AS has_focus, CASE WHEN {FOCUS} > 0 THEN {FOCUS} END AS n_signals,
+  CAST({FOCUS} AS VARCHAR) AS kept, true AS same_sha1, printf('p%03d', page_id) AS meta_page FROM pages""",
     "a05_capture_paths": f"""WITH {_CAP} SELECT page_id, domain || '/full/' || base || '.' || page_id || '.html' AS full_path,
   domain || '/reduced_focus/' || base || '.' || page_id || '.html' AS focus_path, domain || '/reduced_lite/' || base || '.' || page_id || '.html' AS lite_path,
   domain || '/meta/' || base || '.' || page_id || '.json' AS meta_path, domain || '/signals/' || base || '.' || page_id || '.json' AS signals_path FROM caps""",
-    "a06_write_page_json": f"SELECT lower({_HOST}) AS domain, url AS source_url, {_TITLE} AS page_title FROM pages",
+    "a06_write_page_json": """SELECT p_partkey AS page, 'https://given.example.com/list' AS source_url, p_brand AS page_title, 'site' || p_size AS domain,
+  CAST(CASE WHEN ok THEN 2 ELSE 0 END AS INT) AS n_jobs, CASE WHEN ok THEN p_name || '|' || p_type ELSE '' END AS titles,
+  CASE WHEN ok THEN 'https://s' || p_size || '.example.com/JOBS/' || p_partkey || '|-' ELSE '' END AS urls, CASE WHEN ok THEN p_brand || '|-' ELSE '' END AS companies
+FROM (SELECT *, p_partkey % 9 NOT IN (5, 8) AS ok FROM part) q""",
     "a07_skip_processed": f"WITH {_CAP} SELECT domain, base FROM caps WHERE NOT contains(url, '/en/')",
     "b01_with_domain": f"SELECT page_id, lower({_HOST}) AS domain, nullif({_HOST}, '') AS exact_domain FROM (SELECT page_id, upper(url[1]) || lower(url[2:]) AS url FROM pages) q",
     "b02_canonicalize_links": f"""WITH {_LINKS}, l AS (SELECT page_id, pos, url, {_HREF} AS href FROM links)

@@ -39,7 +39,9 @@ def _dirty(spark, sf):
 
 
 def h01(spark, sf):
-    flagged = H.flag_error_records(_dirty(spark, sf))
+    """Both halves from one pass over the input."""
+    valid, rejected = H.conform_error_records(_dirty(spark, sf), store=scratch_dir(spark, "conformed"))
+    flagged = valid.withColumn("reasons", F.array().cast("array<string>")).unionByName(rejected)
     return flagged.select("event_id", "component", "stage", "severity", F.length("message").alias("n"), "url", F.array_join("reasons", ",").alias("reasons"))
 
 

@@ -44,7 +44,7 @@ QUERIES = {
     "i06_domain_history": _errors(M.domain_history, DOMAIN),
     "i07_domain_hourly_timeline": _errors(M.domain_hourly_timeline, AS_OF, DOMAIN),
     "i08_common_timeouts": _errors(M.common_timeouts, AS_OF),
-    "i09_json_parse_failures": _errors(M.json_parse_failures, AS_OF),
+    "i09_json_parse_failures": lambda spark, sf: M.json_parse_failures(error_logs(spark, sf), AS_OF).drop("block"),
     "i10_browser_errors": _errors(M.browser_errors, AS_OF),
     "i11_daily_error_rate": _errors(M.daily_error_rate, AS_OF),
     "i12_new_vs_recurring": _errors(M.new_vs_recurring, I12_AS_OF),

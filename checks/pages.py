@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+import json
+import re
 import sys
 
 from pyspark import cloudpickle
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from checks.entities import FINGERPRINTS_SQL, fingerprints, table
-from checks.links import _BASE, _HOST, _LINKS, _ROOT, _TITLE, _normalized, links
+from checks.entities import AS_OF, FINGERPRINTS_SQL, fingerprints, table
+from checks.links import FOCUS, LITE, _HOST, _LINKS, _PLAIN_BASE, _ROOT, _TITLE, _normalized, links
 from postings.functions.urls import base_name
 from postings.operators import extraction as X
 from postings.operators import pages as P
 from postings.operators import progress as R
 from postings.operators import upsert as G
 from postings.operators.urls import with_domain
+from postings.plans.load import jobs_from_responses, load_responses, records_from_jobs
+from postings.session import scratch_dir
+from postings.sources.captures import write_manifest
 
 # The stand-in model goes to the workers by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -101,9 +107,13 @@ def c09(spark, sf):
 
 
 def c10(spark, sf):
-    focus = P.reduce_focus(_parsed(spark, sf))
-    return focus.select("page_id", "title", "kept_count", "total_candidates", F.length("focus_html").alias("n_chars"),
-                        F.round(F.get("signals", F.lit(0))["score"], 6).alias("best_score"))
+    return P.reduce_focus(_parsed(spark, sf)).select("page_id", "title", "kept_count", "total_candidates")
+
+
+def c10c(spark, sf):
+    """Length and best score, which SQL cannot derive."""
+    return P.reduce_focus(_parsed(spark, sf)).select(
+        "page_id", F.length("focus_html").alias("n_chars"), F.round(F.get("signals", F.lit(0))["score"], 6).alias("best_score"))
 
 
 def c10b(spark, sf):
@@ -121,23 +131,22 @@ def c11b(spark, sf):
 
 
 def c12(spark, sf):
-    parsed = _parsed(spark, sf)
-    captures = with_domain(parsed).select(
-        "domain", base_name(F.col("url"), F.col("title")).alias("seed_base"), "page_id", (F.col("page_id") * 60).alias("ts"))
-    counts = parsed.select("page_id", F.size("nodes").alias("unique_jobs")).join(
-        P.job_list_len(parsed).withColumnRenamed("n", "list_len"), "page_id").withColumn("unique_jobs", F.lit(0))
+    parsed = _parsed(spark, sf, _SECTION)
+    base = base_name(F.col("url"), F.col("title"))
+    captures = with_domain(parsed).select("domain", base.alias("seed_base"), base.alias("base"), "page_id", (F.col("page_id") * 60).alias("ts"))
+    counts = P.results_fingerprint(parsed, pattern=_PATTERN).select("page_id", F.col("job_count").alias("unique_jobs")).join(
+        P.job_list_len(parsed).withColumnRenamed("n", "list_len"), "page_id")
     stops = captures.filter(F.col("page_id") % 2 == 0).select(
         "domain", "seed_base", F.lit("pagination").alias("mode"), F.lit("no_next").alias("stop_reason")).distinct()
-    return R.crawl_manifest(captures, counts, stops).select(
-        "domain", "seed_base", "mode", "stop_reason", "ts",
-        F.array_join(F.transform("pages", lambda p: F.concat_ws(":", p["page_id"].cast("string"), p["counts"]["list_len"].cast("string"))), ",").alias("pages"))
+    joined = lambda *parts: F.array_join(F.transform("pages", lambda p: F.concat_ws(":", *[f(p) for f in parts])), ",")
+    counted = joined(*[lambda p, c=c: p["counts"][c].cast("string") for c in ("list_len", "unique_jobs")])
+    return R.crawl_manifest(captures, counts, stops, config={"pages_max": 3, "headed": False}).select(
+        "domain", "seed_base", "mode", "stop_reason", "ts", joined(lambda p: p["page_id"].cast("string")).alias("pages"), counted.alias("counts"),
+        joined(lambda p: p["files"]["focus"], lambda p: p["files"]["meta"]).alias("files"), F.to_json("config").alias("config"))
 
 
 def a08(spark, sf):
     """Manifests of all pages, then of some domains again, read back."""
-    from postings.session import scratch_dir
-    from postings.sources.captures import write_manifest
-
     out = scratch_dir(spark, "manifest")
     entries = with_domain(table(spark, sf, "pages")).groupBy("domain").agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("last_page"))
     write_manifest(entries, out)
@@ -240,14 +249,40 @@ def d07b(spark, sf):
 
 def load(spark, sf):
     """Responses to job records in one go."""
-    from checks.entities import AS_OF
-    from postings.plans.load import jobs_from_responses, records_from_jobs
-
     jobs, _ = jobs_from_responses(responses(spark, sf))
     records, _ = records_from_jobs(jobs, AS_OF)
     return records.select("job_url", "title", "company", "weekly_hours", "source_domain", "source_page_url")
 
 
+def _link_model(text: str) -> str:
+    """Stands in for a model: a posting for each whole address in the text."""
+    return json.dumps({"jobs": [{"title": f"t{href}", "job_url": href} for href in re.findall(r'href="([^"]*)"', text)]})
+
+
+def d08(spark, sf):
+    """Pages asked in parts of 900 characters that overlap; postings in an overlap come once."""
+    pages = with_domain(table(spark, sf, "pages")).select(F.col("page_id").alias("page"), "domain", "url", F.lit("T").alias("title"), "html")
+    requests = X.build_extraction_requests(X.split_long_pages(pages, 900, 200), "Extract all jobs.")
+    answers = scratch_dir(spark, "part-answers")
+    X.extract_with_model(requests, _link_model, keep=["part", "domain", "url", "title"]).write.parquet(answers)
+    jobs, _ = jobs_from_responses(spark.read.parquet(answers), part="part")
+    place = F.row_number().over(Window.partitionBy("page").orderBy("pos"))
+    return jobs.select("page", place.alias("place"), "title", "job_url")
+
+
+def g09b(spark, sf):
+    """Counts per domain and step rows of a load from responses."""
+    loaded = load_responses(responses(spark, sf), AS_OF, "run-1")
+    steps = loaded.steps.select("domain", "run_id", "step", "status", F.get_json_object("metadata", "$.jobs_saved").alias("logged"))
+    return loaded.summary.join(steps, "domain", "left")
+
+
+def g09c(spark, sf):
+    """Error rows of the same load."""
+    loaded = load_responses(responses(spark, sf), AS_OF, "run-1")
+    return loaded.errors.groupBy("component", "stage", "error_type", "severity").agg(F.count(F.lit(1)).alias("n"))
+
+
 def g01(spark, sf):
     pages = with_domain(table(spark, sf, "pages")).select(
         "page_id", "domain", F.col("url").alias("source_url"), F.expr(_TITLE).alias("page_title"),
@@ -261,12 +296,12 @@ QUERIES = {
     "a08_write_manifest": a08,
     "c01_html_nodes": c01, "c02_ordered_job_links": c02, "c03_job_list_len": c03, "c04_page_text_fingerprint": c04,
     "c05_results_fingerprint": c05, "c06_capture_progress": c06, "c07a_replay_expansion": c07a, "c07b_replay_pagination": c07b,
-    "c08a_detect_jobs_present": c08, "c08b_pages_without_jobs": c08b, "c09_classify_job_hrefs": c09, "c10a_reduce_focus": c10,
+    "c08a_detect_jobs_present": c08, "c08b_pages_without_jobs": c08b, "c09_classify_job_hrefs": c09, "c10a_reduce_focus": c10, "c10c_focus_scores": c10c,
     "c10b_focus_candidates": c10b, "c11a_reduce_lite": c11a, "c11b_ignored_nodes": c11b, "c12_crawl_manifest": c12,
     "c13_detect_pagination_controls": c13,
     "d01_build_extraction_requests": d01, "d02_extract_with_model": d02, "d03_sanitize_json_text": d03, "d04_decode_json_robust": d04,
     "d05_repair_failed_json": d05, "d06a_page_results": d06, "d06b_json_error_rows": d06b, "d07a_explode_jobs": d07,
-    "d07b_skipped_entries": d07b, "g01_validate_pages": g01, "g05b_records_from_responses": load,
+    "d07b_skipped_entries": d07b, "d08_long_pages": d08, "g09b_load_summary": g09b, "g09c_load_errors": g09c, "g01_validate_pages": g01, "g05b_records_from_responses": load,
 }
 
 # ---- SQL -----------------------------------------------------------------------------------
@@ -277,8 +312,7 @@ _ANCHORS = """anchors AS (SELECT page_id, url, CAST(generate_subscripts(a, 1) -
   regexp_extract(unnest(a), '>(.*)</a>', 1) AS label FROM (SELECT page_id, url, regexp_extract_all(html, '<a href="[^"]*">.*?</a>') AS a FROM pages) q)"""
 _LINK_HITS = f"""{_ANCHORS}, hits AS (SELECT page_id, url, i, href, row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS pos FROM anchors
   WHERE regexp_matches(href, '{_PATTERN}') OR regexp_matches(label, '{_PATTERN}'))"""
-# The parsed title has its entities resolved.
-_PLAIN_BASE = _BASE.replace(_TITLE, f"replace({_TITLE}, '&amp;', '&')")
+_PLAIN_TITLE = f"trim(regexp_replace(replace({_TITLE}, '&amp;', '&'), '\\s+', ' ', 'g'))"
 _REQUEST = ("'Extract all jobs.' || chr(10) || chr(10) || 'Return compact JSON on a single line if possible.' || chr(10) || chr(10) || '=== HTML START ===' || chr(10) "
             "|| {} || chr(10) || '=== HTML END ===' || chr(10)")
 _RESP = f"responses AS (SELECT p_partkey AS page, {_RESPONSE} AS response, p_name, p_type, p_brand, p_size FROM part)"
@@ -317,14 +351,16 @@ ORACLES |= {
     "c09_classify_job_hrefs": f"""WITH {_LINKS} SELECT page_id, pos, CASE pos % 4 WHEN 0 THEN href WHEN 1 THEN 'https://Boards.Greenhouse.IO' || href WHEN 2 THEN '/Careers' || href ELSE href || '?gh_jid=1' END AS href,
   pos % 4 <> 0 OR regexp_matches(lower(href), '/(jobs?|careers?|positions?)/') AS is_job_link FROM links""",
     "c10b_focus_candidates": """SELECT page_id, CAST(len(regexp_extract_all(html, '<article>|<div')) AS INT) AS kept_count, CAST(len(regexp_extract_all(html, '<article>|<div')) AS INT) AS total_candidates FROM pages""",
-    "c11a_reduce_lite": """SELECT page_id, '<!doctype html><meta charset="utf-8">' || regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
-  '(?is)<script\\b.*?</script\\s*>|<style\\b.*?</style\\s*>|<noscript\\b.*?</noscript\\s*>|<template\\b.*?</template\\s*>', '', 'g'), '(?is)^\\s*<!doctype[^>]*>', ''),
-  '[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]{2,}', ' ', 'g'), '>[\\t-\\r\\x1c-\\x1f\\x85\\x{feff}\\p{Z}]+<', '><', 'g') AS lite_html FROM pages""",
+    "c10a_reduce_focus": f"SELECT page_id, {_PLAIN_TITLE} AS title, {FOCUS} AS kept_count, {FOCUS} AS total_candidates FROM pages",
+    "c11a_reduce_lite": f"SELECT page_id, {LITE} AS lite_html FROM pages",
     "c11b_ignored_nodes": "SELECT page_id, 'div' AS tag, 'ad' AS elem_id FROM pages WHERE regexp_matches(url, '/(en|de)/')",
-    "c12_crawl_manifest": f"""WITH caps AS (SELECT lower({_HOST}) AS domain, {_PLAIN_BASE} AS seed_base, page_id, page_id * 60 AS ts,
-  len(regexp_extract_all(html, '<li>')) + len(regexp_extract_all(html, '<article>')) AS n FROM pages)
+    "c12_crawl_manifest": f"""WITH {_LINK_HITS}, n AS (SELECT page_id, count(*) AS jobs FROM hits GROUP BY page_id),
+caps AS (SELECT lower({_HOST}) AS domain, {_PLAIN_BASE} AS seed_base, p.page_id, p.page_id * 60 AS ts, coalesce(jobs, 0) AS jobs,
+  len(regexp_extract_all(html, '<li>')) + len(regexp_extract_all(html, '<article>')) AS n FROM pages p LEFT JOIN n ON p.page_id = n.page_id)
 SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' ELSE 'expansion' END AS mode, CASE WHEN bool_or(page_id % 2 = 0) THEN 'no_next' ELSE 'none' END AS stop_reason,
-  max(ts) AS ts, string_agg(page_id || ':' || n, ',' ORDER BY page_id) AS pages FROM caps GROUP BY domain, seed_base""",
+  max(ts) AS ts, string_agg(page_id, ',' ORDER BY page_id) AS pages, string_agg(n || ':' || jobs, ',' ORDER BY page_id) AS counts,
+  string_agg(domain || '/reduced_focus/' || seed_base || '.' || page_id || '.html:' || domain || '/meta/' || seed_base || '.' || page_id || '.json', ',' ORDER BY page_id) AS files,
+  '{{"headed":"False","pages_max":"3"}}' AS config FROM caps GROUP BY domain, seed_base""",
     "a08_write_manifest": f"SELECT lower({_HOST}) AS domain, CAST(CASE WHEN count(*) % 2 = 0 THEN -count(*) ELSE count(*) END AS BIGINT) AS n, max(page_id) AS last_page FROM pages GROUP BY 1",
     "c13_detect_pagination_controls": "SELECT page_id, contains(url, '/en/') AS has_load_more, regexp_matches(url, '/(de|es)/') AS has_next FROM pages",
     "d01_build_extraction_requests": f"SELECT page_id, false AS truncated, {_REQUEST.format('html')} AS request FROM pages",
@@ -343,6 +379,15 @@ SELECT domain, seed_base, CASE WHEN bool_or(page_id % 2 = 0) THEN 'pagination' E
 SELECT page, pos, CASE pos WHEN 0 THEN p_name WHEN 1 THEN ' ' || p_name || ' ' ELSE p_type END AS title, CASE pos WHEN 0 THEN '/jobs/' || page WHEN 1 THEN '/JOBS/' || page END AS job_url,
   CASE pos WHEN 1 THEN p_brand END AS company, CASE pos WHEN 1 THEN CAST(p_size AS VARCHAR) END AS weekly_hours, CASE pos WHEN 3 THEN 'A, B C' END AS location, '' AS type_errors, false AS page_failed FROM rows""",
     "d07b_skipped_entries": f"WITH {_RESP} SELECT page, CAST(CASE WHEN {_OK} THEN 1 ELSE 0 END AS BIGINT) AS skipped FROM responses",
+    "d08_long_pages": f"""WITH {_LINKS}, firsts AS (SELECT page_id, min(pos) AS pos, arg_min(href, pos) AS href FROM links WHERE trim(href) <> '' GROUP BY page_id, lower(trim(href)))
+SELECT l.page_id AS page, CAST(row_number() OVER (PARTITION BY l.page_id ORDER BY pos) AS INT) AS place, 't' || href AS title, {_ROOT} || href AS job_url
+FROM firsts l JOIN pages p ON l.page_id = p.page_id""",
+    "g09b_load_summary": f"""SELECT 'site' || p_size AS domain, CAST(count(*) FILTER (WHERE {_OK}) AS BIGINT) AS jobs_saved, CAST(2 * count(*) FILTER (WHERE {_OK}) AS BIGINT) AS skipped,
+  CAST(count(*) FILTER (WHERE {_OK}) AS BIGINT) AS validation_errors, CASE WHEN count(*) FILTER (WHERE {_OK}) > 0 THEN 'run-1' END AS run_id,
+  CASE WHEN count(*) FILTER (WHERE {_OK}) > 0 THEN 'db_complete' END AS step, CASE WHEN count(*) FILTER (WHERE {_OK}) > 0 THEN 'success' END AS status,
+  CASE WHEN count(*) FILTER (WHERE {_OK}) > 0 THEN CAST(count(*) FILTER (WHERE {_OK}) AS VARCHAR) END AS logged FROM (SELECT *, p_partkey AS page FROM part) q GROUP BY 1""",
+    "g09c_load_errors": f"""SELECT 'llm' AS component, 'parse_json' AS stage, 'json_error' AS error_type, 'error' AS severity, count(*) AS n FROM part WHERE p_partkey % 9 = 5
+UNION ALL SELECT 'db', 'validate_job', 'validation_error', 'warning', count(*) FROM (SELECT p_partkey AS page FROM part) q WHERE {_OK}""",
     "g01_validate_pages": f"""SELECT lower({_HOST}) AS domain, url, CASE WHEN page_id % 4 IN (1, 2) THEN 'invalid page: jobs' ELSE 'ok' END AS message,
   CASE page_id % 4 WHEN 1 THEN '2' WHEN 2 THEN '0' END AS jobs_count FROM pages""",
     "g05b_records_from_responses": f"""WITH {_RESP} SELECT 'https://s' || p_size || '.example.com/JOBS/' || page AS job_url, p_name AS title, p_brand AS company, CAST(p_size AS VARCHAR) AS weekly_hours,

@@ -18,8 +18,18 @@ def rejects(*checks: tuple[str, Column]) -> Column:
     )
 
 
-def split_rejects(df: DataFrame, reasons: str = "reasons") -> tuple[DataFrame, DataFrame]:
-    return df.filter(F.size(reasons) == 0).drop(reasons), df.filter(F.size(reasons) > 0)
+def split_rejects(df: DataFrame, reasons: str = "reasons", store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Rows without ``reasons``, and those that have some.
+
+    Each half evaluates the input; with ``store`` the rows are written once below that path, by verdict, and both halves read
+    what is there. ``store`` must be a new folder that executors reach.
+    """
+    if store is None:
+        return df.filter(F.size(reasons) == 0).drop(reasons), df.filter(F.size(reasons) > 0)
+    df.withColumn("_verdict", F.when(F.size(reasons) == 0, "valid").otherwise("rejected")).write.partitionBy("_verdict").parquet(store)
+    kept = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("_verdict", T.StringType())])).parquet(store)
+    valid, rejected = (kept.filter(F.col("_verdict") == v).drop("_verdict") for v in ("valid", "rejected"))
+    return valid.drop(reasons), rejected
 
 
 def metadata_text(df: DataFrame, col: str = "metadata") -> Column:
@@ -37,7 +47,7 @@ def flag_error_records(df: DataFrame) -> DataFrame:
     """Normalised error rows with the ``reasons`` they would be rejected for: one pass over the input.
 
     Stage becomes lower snake case, the message is trimmed and capped at 5000 characters, an
-    unset severity is "error".
+    unset severity is "error". ``truncated`` says whether the message lost something.
     """
     trimmed = {c: strip(F.col(c)) for c in ("component", "error_type", "domain", "url", "exception_type", "stack_trace")}
     stage = F.replace(F.lower(strip(F.col("stage"))), F.lit(" "), F.lit("_"))
@@ -62,18 +72,19 @@ def flag_error_records(df: DataFrame) -> DataFrame:
         "stage": stage,
         "severity": severity,
         "message": F.substring(strip(F.col("message")), 1, 5000),
+        "truncated": F.coalesce(F.length(strip(F.col("message"))) > 5000, F.lit(False)),
         "metadata": metadata_text(df),
         "created_at": F.coalesce(F.col("created_at"), F.current_timestamp().cast(df.schema["created_at"].dataType)),
     }
     return flagged.withColumns(conformed)
 
 
-def conform_error_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+def conform_error_records(df: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Both halves of :func:`flag_error_records`: valid rows, and those that break a rule with their ``reasons``.
 
-    Each half evaluates the input; use the flagged frame, or store it, where both are needed.
+    Each half evaluates the input, unless ``store`` names a folder for one pass (:func:`split_rejects`).
     """
-    return split_rejects(flag_error_records(df))
+    return split_rejects(flag_error_records(df), store=store)
 
 
 def classify_errors(df: DataFrame, exc_name: str, exc_msg: str, out: str = "error_type") -> DataFrame:
@@ -127,10 +138,15 @@ def sanitize_metadata(df: DataFrame, col: str = "metadata") -> DataFrame:
     return df.withColumn(col, metadata_text(df, col))
 
 
-def conform_process_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Normalised step rows with their duration, and the rows that break a rule."""
+def conform_process_records(df: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Normalised step rows with their duration, and the rows that break a rule (``store``: see :func:`split_rejects`).
+
+    ``truncated`` says whether company or domain, which have 255 characters, lost something.
+    """
     seconds = F.expr("CAST(unix_micros(CAST(completed_at AS TIMESTAMP)) - unix_micros(CAST(started_at AS TIMESTAMP)) AS DOUBLE)") / 1e6
+    long = (F.length(strip(F.col("company"))) > 255) | (F.length(strip(F.col("domain"))) > 255)
     out = df.withColumns({
+        "truncated": F.coalesce(long, F.lit(False)),
         "run_id": strip(F.col("run_id").cast("string")),
         "company": F.substring(F.coalesce(blank_to_null(F.col("company")), F.lit("Unknown")), 1, 255),
         "domain": F.substring(F.lower(F.coalesce(blank_to_null(F.col("domain")), F.lit("unknown"))), 1, 255),
@@ -144,7 +160,7 @@ def conform_process_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         ("status", F.col("status").isin(PROCESS_STATUSES)),
         ("duration_seconds", F.col("duration_seconds").isNull() | (F.col("duration_seconds") >= 0)),
     ))
-    return split_rejects(out)
+    return split_rejects(out, store=store)
 
 
 def step_descriptions(df: DataFrame, out: str = "description") -> DataFrame:

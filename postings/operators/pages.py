@@ -9,18 +9,21 @@ are spread over hosts. An element knows the span of its text in ``text``, of its
 
 from __future__ import annotations
 
+import re
 import sys
+from bisect import bisect_right
 from collections.abc import Iterator
 from html import escape
 from html.parser import HTMLParser
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.functions import urls as U
-from postings.functions.text import WS, let, strip
+from postings.functions.text import WS, WS_CHARS, strip
 from postings.operators.upsert import error_rows
 
 # Worker processes get the parser by value: they need not have this package on their path.
@@ -37,6 +40,11 @@ JOB_PATHS = [
 ]
 BANNER_WORDS = "cookie|consent|newsletter|subscribe|sign-?up|login|advert|promo|overlay|modal|toast|social|gdpr"
 
+def _job_href(href: str) -> bool:
+    text = href.lower()
+    return any(part in text for part in (*VENDOR_HOSTS, *JOB_PATHS))
+
+
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _DROPPED = frozenset(["script", "style", "noscript", "template"])
 _ENDS_PARAGRAPH = frozenset(
@@ -60,15 +68,98 @@ _NODE = pa.struct([
     ("child_pos", pa.int32()), ("n_children", pa.int32()), ("tag", pa.string()),
     ("attrs", pa.map_(pa.string(), pa.string())), ("within", pa.list_(pa.string())), ("label", pa.string()),
     ("text_start", pa.int32()), ("text_end", pa.int32()), ("trim_start", pa.int32()), ("trim_end", pa.int32()),
-    ("html_start", pa.int32()), ("html_end", pa.int32()),
+    ("html_start", pa.int32()), ("html_end", pa.int32()), ("ignored", pa.bool_()), ("gone", pa.bool_()), ("ink", pa.int32()),
+    ("link_text", pa.int32()), ("heads", pa.int32()), ("job_links", pa.int32()), ("kids", pa.int32()), ("kin", pa.int32()),
 ])
 _NODE_DDL = (
     "struct<id:int,parent:int,last:int,depth:int,child_pos:int,n_children:int,tag:string,"
     "attrs:map<string,string>,within:array<string>,label:string,text_start:int,text_end:int,"
-    "trim_start:int,trim_end:int,html_start:int,html_end:int>"
+    "trim_start:int,trim_end:int,html_start:int,html_end:int,ignored:boolean,gone:boolean,ink:int,"
+    "link_text:int,heads:int,job_links:int,kids:int,kin:int>"
 )
 
 
+_BANNER = re.compile(BANNER_WORDS)
+_HIDDEN = re.compile(r"(^|;)(display:none|visibility:hidden|opacity:0(\.0*)?(;|!|\Z))")
+_FIXED = re.compile("(^|;)position:fixed")
+_BLANKS = np.array(sorted(map(ord, WS_CHARS)), np.uint32)
+
+
+def _is_ignored(node: dict, job_ids: list[int]) -> bool:
+    """Has an id, and is hidden without job links inside, or a fixed banner. Only inline styles are known offline."""
+    attrs = node["attrs"]
+    if not attrs.get("id"):
+        return False
+    style = re.sub(r"\s", "", attrs.get("style", ""), flags=re.ASCII).lower()
+    if "hidden" in attrs or _HIDDEN.search(style):
+        at = bisect_right(job_ids, node["id"])
+        if at == len(job_ids) or job_ids[at] > node["last"]:
+            return True
+    return bool(_FIXED.search(style) and _BANNER.search(f"{attrs['id']} {attrs.get('class', '')}".lower()))
+
+
+def _measure(nodes: list[dict], text: str) -> None:
+    """Mark what the focus reduction leaves out, and sum up for every element what remains inside it.
+
+    ``ignored``: outermost element left out; ``gone``: that or inside one; ``ink``: characters of the text, trimmed;
+    ``link_text``: characters of links; ``heads``, ``job_links``: headings and job links; ``kids``: children, and
+    ``kin`` those of the first one's tag. One pass over the elements, then differences of running sums.
+    """
+    links = [(n["id"], _job_href(n["attrs"].get("href", ""))) for n in nodes if n["tag"] == "a"]
+    job_ids = [i for i, job in links if job]
+    spans, at = [], 0
+    while at < len(nodes):
+        node = nodes[at]
+        hit = _is_ignored(node, job_ids)
+        if hit:
+            spans.append((node["id"], node["last"], node["text_start"], node["text_end"]))
+        end = node["last"] + 1 if hit else at + 1
+        for n in nodes[at:end]:
+            n["ignored"], n["gone"], n["kids"], n["kin"] = n is node and hit, hit, 0, 0
+        at = end
+    first: dict[int, str] = {}
+    for n in nodes:
+        if not n["gone"] and n["parent"] >= 0:
+            parent = nodes[n["parent"]]
+            parent["kids"] += 1
+            parent["kin"] += first.setdefault(n["parent"], n["tag"]) == n["tag"]
+    ids, last = (np.array([n[c] for n in nodes], np.int64) for c in ("id", "last"))
+    low, high = (np.array([n[c] for n in nodes], np.int64) for c in ("text_start", "text_end"))
+    lost_at = np.array([s[0] for s in spans], np.int64)
+    lost = np.concatenate(([0], np.cumsum([s[3] - s[2] for s in spans], dtype=np.int64)))
+
+    def within(places: np.ndarray, sums: np.ndarray) -> np.ndarray:
+        """Sum over those of ``places`` (ids in order) that lie behind an element's start and not behind its end."""
+        return sums[np.searchsorted(places, last, "right")] - sums[np.searchsorted(places, ids, "right")]
+
+    inside = within(lost_at, lost)
+    alive = [(i, job) for i, job in links if not nodes[i]["gone"]]
+    link_ids = np.array([i for i, _ in alive], np.int64)
+    own = (high - low - inside)[link_ids] if len(link_ids) else np.zeros(0, np.int64)
+    head_ids = np.array([n["id"] for n in nodes if n["tag"] in ("h1", "h2", "h3") and not n["gone"]], np.int64)
+    sums = {
+        "link_text": within(link_ids, np.concatenate(([0], np.cumsum(own)))),
+        "job_links": within(link_ids, np.concatenate(([0], np.cumsum([job for _, job in alive], dtype=np.int64)))),
+        "heads": within(head_ids, np.arange(len(head_ids) + 1)),
+    }
+    if spans:
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        keep = np.ones(len(code), bool)
+        for _, _, a, b in spans:
+            keep[a:b] = False
+        ink = np.flatnonzero(keep & ~np.isin(code, _BLANKS))
+        behind = np.concatenate(([0], np.cumsum(keep)))  # characters that remain before a place
+        a, b = np.searchsorted(ink, low), np.searchsorted(ink, high)
+        full = b > a
+        sums["ink"] = np.zeros(len(nodes), np.int64)
+        sums["ink"][full] = behind[ink[b[full] - 1] + 1] - behind[ink[a[full]]]
+    else:
+        sums["ink"] = np.array([n["trim_end"] - n["trim_start"] for n in nodes], np.int64)
+    for name, values in sums.items():
+        for n, value in zip(nodes, values.tolist()):
+            n[name] = value
+
+
 class _Outline(HTMLParser):
     """Collects elements in document order with their spans; broken markup never raises."""
 
@@ -81,8 +172,8 @@ class _Outline(HTMLParser):
         self.text_len = self.html_len = self.last_ink = 0
         self.skipping = 0
         self.title: list[str] | None = None
-        self.title_text = ""
         self.failure: str | None = None
+        self.reached = 0
 
     def _emit(self, markup: str) -> None:
         self.html.append(markup)
@@ -174,11 +265,41 @@ class _Outline(HTMLParser):
         self.text_len += len(data)
         self._emit(escape(data, quote=False))
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Called as the parser moves on: remembers how far it has come in the text at hand."""
+        self.reached = max(i, j)
+        return super().updatepos(i, j)
+
+    def read(self, html: str) -> None:
+        """Read a page. A declaration that cannot be read is left out up to its ">", and the page goes on behind it."""
+        while True:
+            self.reached = 0
+            try:
+                self.feed(html)
+                self.close()
+                return
+            except (AssertionError, ValueError, IndexError) as exc:
+                self.failure = self.failure or f"{type(exc).__name__}: {exc}"
+                rest = self.rawdata[self.reached:]
+                end = rest.find(">")
+                self.rawdata = ""
+                if end < 0:
+                    return
+                html = rest[end + 1:]
+
     def parse_marked_section(self, i: int, report: int = 1) -> int:
-        """Sections of unknown kinds end at their ">", like a comment that is not closed properly."""
+        """Sections end at their ">", like a comment that is not closed properly; unknown kinds are noted."""
+        kind = re.match(r"<!\[\s*(\w*)", self.rawdata[i:i + 40])
+        if not kind or kind[1].lower() not in ("cdata", "if", "else", "endif"):
+            self.failure = self.failure or f"marked section of unknown kind at {self.getpos()}"
         end = self.rawdata.find(">", i)
         return end + 1 if end >= 0 else -1
 
+    def parse_bogus_comment(self, i: int, report: int = 1) -> int:
+        if self.rawdata.startswith("<!", i):
+            self.failure = self.failure or f"malformed comment at {self.getpos()}"
+        return super().parse_bogus_comment(i, report)
+
     def handle_comment(self, data: str) -> None:
         if not self.skipping:
             self._emit(f"<!--{data}-->")
@@ -188,10 +309,12 @@ class _Outline(HTMLParser):
             self._close_top()
         for node in self.nodes:
             del node["_inside"], node["_chunk"]
+        text = "".join(self.text)
+        _measure(self.nodes, text)
         return {
             "parse_error": self.failure,
             "title": " ".join("".join(self.title or []).split()),
-            "text": "".join(self.text),
+            "text": text,
             "clean_html": "".join(self.html),
             "nodes": self.nodes,
         }
@@ -199,17 +322,13 @@ class _Outline(HTMLParser):
 
 def _outline(html: str | None) -> dict:
     parser = _Outline()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except (AssertionError, ValueError, IndexError) as exc:
-        parser.failure = f"{type(exc).__name__}: {exc}"  # what was read so far stands, and the page says so
+    parser.read(html or "")
     return parser.finish()
 
 
 def html_nodes(pages: DataFrame, key: str | list[str] = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Parse each page once: keys and kept columns, ``title``, ``text``, ``clean_html``, ``nodes``, and ``parse_error``
-    where the rest of a page could not be read.
+    where some markup could not be read (it is skipped up to its ">").
 
     script, style, noscript and template are left out. ``nodes`` is in document order; ``last``
     is the id of an element's last descendant, ``within`` the distinct tags around it. Write the
@@ -432,23 +551,8 @@ def reduce_lite(pages: DataFrame, html: str = "html", out: str = "lite_html") ->
 
 
 def _ignored() -> Column:
-    """Spans of elements with an id that are hidden without job links, or fixed banners.
-
-    Only inline styles are known offline. Outermost spans only: what lies inside goes with them.
-    """
-    links = F.transform(F.filter("nodes", lambda n: (n["tag"] == "a") & is_job_href(_attr(n, "href"))), lambda n: n["id"])
-    first_with_id = F.filter("nodes", lambda n: _attr(n, "id") != "")
-
-    def is_ignored(n: Column) -> Column:
-        style = F.lower(F.regexp_replace(_attr(n, "style"), r"\s", ""))
-        hidden = style.rlike(r"(^|;)(display:none|visibility:hidden|opacity:0(\.0*)?(;|!|\z))") | n["attrs"]["hidden"].isNotNull()
-        fixed = style.rlike("(^|;)position:fixed")
-        name = F.lower(F.concat(_attr(n, "id"), F.lit(" "), _attr(n, "class")))
-        job_inside = F.exists(links, lambda i: (i > n["id"]) & (i <= n["last"]))
-        return (hidden & ~job_inside) | (fixed & name.rlike(BANNER_WORDS))
-
-    hits = F.filter(first_with_id, is_ignored)
-    return F.filter(hits, lambda n: ~F.exists(hits, lambda o: (o["id"] < n["id"]) & (o["last"] >= n["last"])))
+    """Outermost elements with an id that are hidden without job links, or fixed banners (marked by the parser)."""
+    return F.filter("nodes", lambda n: n["ignored"])
 
 
 def ignored_nodes(parsed: DataFrame, key: str = "page_id") -> DataFrame:
@@ -472,72 +576,31 @@ def _cut(text: Column, start: Column, end: Column, spans: Column, from_field: st
 
 def reduce_focus(
     parsed: DataFrame, top_n: int = 10, min_text: int = 200, job_link_boost: float = 25.0, key: str = "page_id", url: str = "url",
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Keep the best-scoring containers of a page.
 
     Per page ``focus_html``, the ``signals`` of the kept containers, ``kept_count`` and
-    ``total_candidates``; what the other containers hold, and those of up to ``min_text`` characters, is left out. ``job_link_boost=0`` and ``top_n=3`` give the older, plainer reduction.
+    ``total_candidates``, and the ``keep`` columns; what the other containers hold, and those of up to ``min_text`` characters,
+    is left out. ``job_link_boost=0`` and ``top_n=3`` give the older, plainer reduction.
     """
-    spans = F.col("_ignored")
-
-    def alive(n: Column) -> Column:
-        return ~F.exists(spans, lambda s: (s["id"] <= n["id"]) & (s["last"] >= n["id"]))
-
-    def inside(items: Column, c: Column) -> Column:
-        return F.filter(items, lambda i: (i["id"] > c["id"]) & (i["id"] <= c["last"]))
-
-    def gone(n: Column) -> Column:
-        """Characters of an element's text that go with ignored elements inside it."""
-        lost = F.filter(spans, lambda s: (s["id"] > n["id"]) & (s["last"] <= n["last"]))
-        return F.aggregate(lost, F.lit(0), lambda acc, s: acc + s["text_end"] - s["text_start"])
-
-    def text_len(n: Column) -> Column:
-        cut = F.length(strip(_cut(F.col("text"), n["text_start"], n["text_end"], spans, "text_start", "text_end")))
-        return F.when(F.size(spans) == 0, n["trim_end"] - n["trim_start"]).otherwise(cut)
-
-    links = F.transform(
-        F.filter("nodes", lambda n: (n["tag"] == "a") & alive(n)),
-        lambda n: F.struct(
-            n["id"].alias("id"), (n["text_end"] - n["text_start"] - gone(n)).alias("len"),
-            is_job_href(_attr(n, "href")).alias("job"),
-        ),
-    )
-    heads = F.transform(
-        F.filter("nodes", lambda n: n["tag"].isin("h1", "h2", "h3") & alive(n)), lambda n: F.struct(n["id"].alias("id")),
-    )
-    staged = parsed.withColumn("_ignored", _ignored()).withColumns({"_links": links, "_heads": heads})
-
     def is_candidate(n: Column) -> Column:
-        return (n["tag"].isin("main", "article", "section", "div") | (_attr(n, "id") == "content")) & alive(n)
-
-    def repetition(c: Column) -> Column:
-        descendants = F.slice(F.col("nodes"), c["id"] + 2, c["last"] - c["id"])
-        kids = F.filter(descendants, lambda d: (d["parent"] == c["id"]) & alive(d))
-
-        def share(tags: Column) -> Column:
-            same = F.size(F.filter(tags, lambda t: t == tags[0])) / F.size(tags)
-            return F.when(F.size(tags) > 3, same).otherwise(F.lit(0.0))
-
-        # Children are listed once per candidate, not once per child.
-        return F.when(c["n_children"] > 3, let(F.transform(kids, lambda d: d["tag"]), share)).otherwise(F.lit(0.0))
+        kind = n["tag"].isin("main", "article", "section", "div") | (_attr(n, "id") == "content")
+        return kind & ~n["gone"] & (n["ink"] > min_text)
 
     def measured(c: Column) -> Column:
-        own = inside(F.col("_links"), c)
         role = F.lower(_attr(c, "role"))
+        share = F.when((c["n_children"] > 3) & (c["kids"] > 3), c["kin"] / c["kids"]).otherwise(F.lit(0.0))
         return F.struct(
             c["id"].alias("id"), c["html_start"].alias("html_start"), c["html_end"].alias("html_end"),
-            text_len(c).alias("text_len"),
-            F.aggregate(own, F.lit(0), lambda acc, a: acc + a["len"]).alias("link_len"),
-            F.size(inside(F.col("_heads"), c)).alias("hcount"),
+            c["ink"].alias("text_len"), c["link_text"].alias("link_len"), c["heads"].alias("hcount"),
             (c["tag"].isin("main", "article") | (role == "main")).alias("is_main"),
             # Candidates are never nav, header or footer elements, unless picked by their id.
             (c["tag"].isin("nav", "header", "footer") | role.isin("navigation", "banner", "contentinfo")).alias("looks_nav"),
-            F.exists(own, lambda a: a["job"]).alias("has_job_links"),
-            repetition(c).alias("repetition"),
+            (c["job_links"] > 0).alias("has_job_links"), share.alias("repetition"),
         )
 
-    staged = staged.withColumn("_measured", F.filter(
-        F.transform(F.filter("nodes", is_candidate), measured), lambda m: m["text_len"] > min_text))
+    staged = parsed.withColumn("_measured", F.transform(F.filter("nodes", is_candidate), measured))
 
     def scored(m: Column) -> Column:
         density = F.when(m["text_len"] > 0, m["link_len"] / m["text_len"]).otherwise(F.lit(0.0))
@@ -555,10 +618,12 @@ def reduce_focus(
         )
 
     staged = staged.withColumn("_kept", F.slice(F.array_sort(F.transform("_measured", scored)), 1, top_n))
+    spans = F.col("_ignored")
+    staged = staged.withColumn("_ignored", _ignored())
     pieces = F.transform("_kept", lambda k: _collapsed(
         _cut(F.col("clean_html"), k["html_start"], k["html_end"], spans, "html_start", "html_end")))
     return staged.select(
-        key, F.col(url).alias("url"), "title",
+        key, F.col(url).alias("url"), "title", *keep,
         F.concat(
             F.lit('<!doctype html><meta charset="utf-8"><title>'), F.col("title"), F.lit("</title>"), F.array_join(pieces, "\n"),
         ).alias("focus_html"),

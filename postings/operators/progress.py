@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from postings.operators.urls import capture_files
+
 BLOCK = 100_000
 
 
@@ -105,20 +107,26 @@ def replay_stop_reason(
     )
 
 
-def crawl_manifest(captures: DataFrame, counts: DataFrame, stops: DataFrame, keys: Sequence[str] = ("domain", "seed_base"), page: str = "page_id") -> DataFrame:
+def crawl_manifest(
+    captures: DataFrame, counts: DataFrame, stops: DataFrame, keys: Sequence[str] = ("domain", "seed_base"), page: str = "page_id",
+    config: dict[str, object] | None = None,
+) -> DataFrame:
     """One row per crawled seed with its pages.
 
     ``captures`` has the keys, ``page`` and ``ts``; ``counts`` has ``page, unique_jobs, list_len``;
-    ``stops`` has the keys, ``mode`` and ``stop_reason``. A seed keeps as many pages per crawl as
+    ``stops`` has the keys, ``mode`` and ``stop_reason``. Where captures have ``domain`` and ``base``, an entry lists the
+    capture's ``files``; ``config`` is what the crawl ran with, kept as a map of text. A seed keeps as many pages per crawl as
     the crawl's page limit allows, so the list is short; add ``run_id`` to the keys for a history.
     """
     keys = list(keys)
-    entry = F.struct(
-        F.col(page).alias("page_id"), F.struct("unique_jobs", "list_len").alias("counts"), F.col("ts").alias("ts"),
-    )
+    fields = [F.col(page).alias("page_id"), F.struct("unique_jobs", "list_len").alias("counts"), F.col("ts").alias("ts")]
+    if {"domain", "base"} <= set(captures.columns):
+        captures = captures.withColumn("_files", F.struct(*[path.alias(kind) for kind, path in capture_files().items()]))
+        fields.insert(1, F.col("_files").alias("files"))
     listed = captures.join(counts, page, "left").groupBy(*keys).agg(
-        F.sort_array(F.collect_list(entry)).alias("pages"), F.max("ts").alias("ts"))
+        F.sort_array(F.collect_list(F.struct(*fields))).alias("pages"), F.max("ts").alias("ts"))
+    settings = [F.lit(x) for k, v in sorted((config or {}).items()) for x in (k, str(v))]
     return listed.join(stops, keys, "left").select(
         *keys, F.coalesce("mode", F.lit("expansion")).alias("mode"), F.coalesce("stop_reason", F.lit("none")).alias("stop_reason"),
-        "pages", "ts",
+        "pages", F.create_map(*settings).cast("map<string,string>").alias("config"), "ts",
     )

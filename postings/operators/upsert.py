@@ -32,9 +32,10 @@ def _json(**fields: Column) -> Column:
     return F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
 
 
-def validate_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
+def validate_pages(pages: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Pages whose ``jobs`` (ARRAY<VARIANT>, or a VARIANT) is a list of objects, and error rows
-    for the others. URL and title must be present, as text; they are stripped."""
+    for the others. URL and title must be present, as text; they are stripped. ``store``: a new folder for one pass
+    over the input (:func:`postings.operators.logs.split_rejects`)."""
     jobs = F.col("jobs")
     if isinstance(pages.schema["jobs"].dataType, T.VariantType):
         jobs = F.try_variant_get(jobs, "$", "array<variant>")
@@ -46,7 +47,7 @@ def validate_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     checked = pages.withColumns({
         "reasons": shape, "source_url": strip(F.col("source_url")), "page_title": strip(F.col("page_title")),
     })
-    valid, bad = split_rejects(checked)
+    valid, bad = split_rejects(checked, store=store)
     errors = error_rows(
         bad, component="db", stage="validate_page", error_type="validation_error", severity="error",
         domain=F.col("domain"), url=F.coalesce("source_url", F.lit("")),
@@ -70,9 +71,10 @@ def _with_reasons(jobs: DataFrame) -> DataFrame:
     return out
 
 
-def validate_jobs(jobs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid postings with stripped text, and rejected ones with their ``reasons``."""
-    valid, bad = split_rejects(_with_reasons(jobs))
+def validate_jobs(jobs: DataFrame, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Valid postings with stripped text, and rejected ones with their ``reasons``. ``store``: a new folder for one pass
+    over the input (:func:`postings.operators.logs.split_rejects`)."""
+    valid, bad = split_rejects(_with_reasons(jobs), store=store)
     text = [c for c in POSTING_FIELDS if c in jobs.columns]
     return valid.withColumns({c: strip(F.col(c)) for c in text}), bad
 

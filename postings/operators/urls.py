@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.functions import urls as U
@@ -53,18 +53,24 @@ def with_sha1(df: DataFrame, text: str, out: str = "sha1") -> DataFrame:
     return df.withColumn(out, F.sha1(F.col(text)))
 
 
-def capture_paths(captures: DataFrame) -> DataFrame:
-    """Relative path of the five files kept per capture, from ``domain``, ``base`` and ``page_id``."""
-    # Kind of file, its folder and its extension.
-    layout = [
-        ("full", "full", "html"),
-        ("focus", "reduced_focus", "html"),
-        ("lite", "reduced_lite", "html"),
-        ("meta", "meta", "json"),
-        ("signals", "signals", "json"),
-    ]
+# Kind of file, its folder and its extension.
+CAPTURE_FILES = [
+    ("full", "full", "html"),
+    ("focus", "reduced_focus", "html"),
+    ("lite", "reduced_lite", "html"),
+    ("meta", "meta", "json"),
+    ("signals", "signals", "json"),
+]
+
+
+def capture_files() -> dict[str, Column]:
+    """Relative path of each file kept per capture, from ``domain``, ``base`` and ``page_id``."""
     stem = F.concat_ws(".", "base", "page_id")
-    return captures.withColumns({
-        f"{kind}_path": F.concat_ws("/", "domain", F.lit(folder), F.concat(stem, F.lit(f".{ext}")))
-        for kind, folder, ext in layout
-    })
+    return {
+        kind: F.concat_ws("/", "domain", F.lit(folder), F.concat(stem, F.lit(f".{ext}"))) for kind, folder, ext in CAPTURE_FILES
+    }
+
+
+def capture_paths(captures: DataFrame) -> DataFrame:
+    """The five files of :func:`capture_files` as columns ``<kind>_path``."""
+    return captures.withColumns({f"{kind}_path": path for kind, path in capture_files().items()})

@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postings.plans.monitoring import cutoff
+from postings.plans.monitoring import since
 
 NEWEST_FIRST = ["domain", "component", "stage", "error_type", "message"]
 
@@ -23,7 +23,7 @@ def scan_errors(
         if value:
             out = out.filter(F.col(column) == value)
     if hours:
-        out = out.filter(F.col("created_at") >= cutoff(logs, "created_at", as_of - dt.timedelta(hours=hours)))
+        out = since(out, as_of, hours=hours, inclusive=True)
     if limit is None:
         return out
     return out.orderBy(F.desc("created_at"), *NEWEST_FIRST).limit(limit)
@@ -45,12 +45,21 @@ def _grouped(errors: DataFrame, sets: dict[str, Column]) -> DataFrame:
 
 
 def _ranked(counted: DataFrame, caps: dict[str, int]) -> DataFrame:
-    """Rank values within each section (a handful of rows by now) and keep the first of each."""
-    order = Window.partitionBy("section").orderBy(F.desc("n"), "value")
+    """Rank values within each section and keep the first of each, as ``caps`` says; sections without a cap stay whole.
+
+    A section under a cap may hold any number of values. Each task keeps its own first ones before any exchange, so no
+    task ranks all of them; values of other sections pass that step each in a partition of their own. What is left
+    is a handful of rows, which get their ranks.
+    """
+    order = [F.desc("n"), F.col("value")]
     cap = F.lit(None).cast("int")
     for section, size in caps.items():
         cap = F.when(F.col("section") == section, F.lit(size)).otherwise(cap)
-    return counted.withColumn("rank", F.row_number().over(order)).filter(cap.isNull() | (F.col("rank") <= cap))
+    apart = F.when(cap.isNull(), F.coalesce("value", F.lit("")))
+    first = counted.withColumn("rank", F.row_number().over(Window.partitionBy("section", apart).orderBy(*order)))
+    few = first.filter(F.col("rank") <= max(caps.values())).drop("rank")
+    ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("section").orderBy(*order)))
+    return ranked.filter(cap.isNull() | (F.col("rank") <= cap))
 
 
 def error_summary(sample: DataFrame, top_types: int = 10) -> DataFrame:

@@ -22,12 +22,14 @@ def cutoff(df: DataFrame, column: str, when: dt.datetime) -> Column:
     return F.lit(when).cast(df.schema[column].dataType)
 
 
-def since(df: DataFrame, as_of: dt.datetime, column: str = "created_at", **age: int) -> DataFrame:
-    """Rows younger than an age such as ``days=7``; a log's ``day`` gets the same bound, so older folders are not opened."""
+def since(df: DataFrame, as_of: dt.datetime, column: str = "created_at", inclusive: bool = False, **age: int) -> DataFrame:
+    """Rows younger than an age such as ``days=7`` (``inclusive``: or just as old); a log's ``day`` gets the same bound, so
+    older folders are not opened."""
     start = as_of - dt.timedelta(**age)
     if column == "created_at" and "day" in df.columns:
         df = df.filter(F.col("day") >= F.lit(start.date()))
-    return df.filter(F.col(column) > cutoff(df, column, start))
+    bound = cutoff(df, column, start)
+    return df.filter(F.col(column) >= bound if inclusive else F.col(column) > bound)
 
 
 def meta(key: str) -> Column:
@@ -117,10 +119,12 @@ def common_timeouts(errors: DataFrame, as_of: dt.datetime, days: int = 7, limit:
     )
 
 
-def json_parse_failures(errors: DataFrame, as_of: dt.datetime, days: int = 7) -> DataFrame:
-    """Per domain: failures, mean response length and the distinct page titles, joined.
+def json_parse_failures(errors: DataFrame, as_of: dt.datetime, days: int = 7, block: int = 10_000) -> DataFrame:
+    """Per domain: failures, mean response length and the distinct page titles in order, joined.
 
-    Counted per (domain, title) first, so the final step sees each title once.
+    A domain with more than ``block`` titles has several rows, each with at most so many of them: the rows of a domain in
+    order of ``block`` are its full ordered list. Counted per (domain, title) first, so that later steps see each title
+    once; the order across blocks comes from a range partitioning by domain and title, never from one task.
     """
     length = meta_int("response_length")
     titles = (
@@ -128,12 +132,20 @@ def json_parse_failures(errors: DataFrame, as_of: dt.datetime, days: int = 7) ->
         .groupBy("domain", meta("page_title").alias("title"))
         .agg(_n("n"), F.max("created_at").alias("latest"), F.sum(length).alias("length"), F.count(length).alias("measured"))
     )
+    totals = titles.groupBy("domain").agg(
+        F.sum("n").alias("parse_failures"), F.max("latest").alias("latest_failure"),
+        F.try_divide(F.sum("length").cast("double"), F.sum("measured")).alias("avg_response_length"), F.count("title").alias("_titles"),
+    )
+    ordered = titles.select("domain", "title").filter("title IS NOT NULL").repartitionByRange("domain", "title").sortWithinPartitions("domain", "title")
+    placed = ordered.withColumn("_place", F.floor(F.monotonically_increasing_id() / block).cast("bigint"))
+    small = F.col("_titles") <= block
+    listed = (
+        placed.join(totals.select("domain", "_titles"), "domain").groupBy("domain", F.when(small, F.lit(0).cast("bigint")).otherwise(F.col("_place")).alias("block"))
+        .agg(F.array_join(F.array_sort(F.collect_list("title")), ", ").alias("affected_pages"))
+    )
     return (
-        titles.groupBy("domain").agg(
-            F.sum("n").alias("parse_failures"), F.max("latest").alias("latest_failure"),
-            F.try_divide(F.sum("length").cast("double"), F.sum("measured")).alias("avg_response_length"),
-            F.nullif(F.array_join(F.array_sort(F.collect_list("title")), ", "), F.lit("")).alias("affected_pages"),
-        ).orderBy(F.desc("parse_failures"), "domain")
+        totals.drop("_titles").join(listed, "domain", "left").withColumn("affected_pages", F.nullif("affected_pages", F.lit("")))
+        .withColumn("block", F.coalesce("block", F.lit(0).cast("bigint"))).orderBy(F.desc("parse_failures"), "domain", "block")
     )
 
 

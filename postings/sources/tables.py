@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,10 +56,97 @@ def conform_jsonl(df: DataFrame) -> DataFrame:
     return df.withColumn("metadata", F.to_json("metadata"))
 
 
+# Compaction: many small batches of a day are rewritten as one. The new batch counts from the moment a file in
+# ``_compactions`` names it; the same file says which batches it stands for, and those are read no more.
+
+_COMPACT = "compact-"
+
+
+def _compactions(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """{new batch: batches it stands for} of the finished compactions; empty lists once those are deleted."""
+    target, fs = _hadoop(spark, f"{path}/_compactions")
+    if not fs.exists(target):
+        return {}
+    rows = spark.read.schema("batch string, replaced array<string>").json(f"{path}/_compactions").collect()
+    return {r.batch: list(r.replaced or []) for r in rows}
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a log in the batches that count now."""
+    done = _compactions(spark, path)
+    rows = spark.read.option("basePath", path).parquet(path)
+    gone = sorted({b for replaced in done.values() for b in replaced})
+    finished = ~F.col("batch").startswith(_COMPACT) | F.col("batch").isin(sorted(done))
+    return rows.filter(finished & ~F.col("batch").isin(gone)) if gone else rows.filter(finished)
+
+
+def compact_log(spark: SparkSession, path: str, least: int = 2, rows_per_file: int = 5_000_000) -> dict[str, str]:
+    """Rewrite every day that holds at least ``least`` batches as one batch; {day: new batch}.
+
+    Readers see each row once at any time: until the entry in ``_compactions`` is there they skip the new batch, afterwards
+    the old ones. Old files stay for readers that began before; :func:`vacuum_log` deletes them. One compaction at a time;
+    writers may go on appending, their new batches are not touched.
+    """
+    if not path_exists(spark, path):
+        return {}
+    done = _compactions(spark, path)
+    gone = {b for replaced in done.values() for b in replaced}
+    out = {}
+    for day in _names(spark, path, "day="):
+        batches = [b for b in _names(spark, f"{path}/day={day}", "batch=") if b not in gone and (not b.startswith(_COMPACT) or b in done)]
+        if len(batches) < least:
+            continue
+        name = f"{_COMPACT}{uuid.uuid4().hex}"
+        rows = spark.read.parquet(*[f"{path}/day={day}/batch={b}" for b in batches])
+        rows.hint("rebalance").write.option("maxRecordsPerFile", rows_per_file).parquet(f"{path}/day={day}/batch={name}")
+        _note(spark, path, name, batches)
+        out[day] = name
+    return out
+
+
+def vacuum_log(spark: SparkSession, path: str) -> int:
+    """Delete batches that a finished compaction stands for, and what unfinished ones left; how many folders went.
+
+    Not while a compaction runs, nor while readers from before it do.
+    """
+    done = _compactions(spark, path) if path_exists(spark, path) else {}
+    gone = {b for replaced in done.values() for b in replaced}
+    count = 0
+    for day in _names(spark, path, "day=") if path_exists(spark, path) else []:
+        for batch in _names(spark, f"{path}/day={day}", "batch="):
+            if batch in gone or (batch.startswith(_COMPACT) and batch not in done):
+                target, fs = _hadoop(spark, f"{path}/day={day}/batch={batch}")
+                fs.delete(target, True)
+                count += 1
+    for name, replaced in done.items():
+        if replaced:
+            _note(spark, path, name, [])
+    return count
+
+
+def _note(spark: SparkSession, path: str, name: str, replaced: list[str]) -> None:
+    """Write the entry of a compaction under a hidden name and move it into place: it is there as a whole or not at all."""
+    draft, fs = _hadoop(spark, f"{path}/_compactions/.{name}-{uuid.uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(bytearray(json.dumps({"batch": name, "replaced": replaced}), "utf-8"))
+    stream.close()
+    final, _ = _hadoop(spark, f"{path}/_compactions/{name}.json")
+    if fs.exists(final):
+        fs.delete(final, False)
+    if not fs.rename(draft, final):
+        raise OSError(f"could not write {final}")
+
+
+def _names(spark: SparkSession, folder: str, prefix: str) -> list[str]:
+    target, fs = _hadoop(spark, folder)
+    names = [s.getPath().getName() for s in fs.listStatus(target)]
+    return sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
+
+
 def _read_log(spark: SparkSession, table: str | None, jsonl_dir: str | None, schema: T.StructType) -> DataFrame:
     parts = []
     if table and path_exists(spark, table):
-        parts.append(spark.read.parquet(table).select(*schema.fieldNames(), "day"))
+        parts.append(_current(spark, table).select(*schema.fieldNames(), "day"))
     if jsonl_dir and path_exists(spark, jsonl_dir):
         lines = conform_jsonl(spark.read.schema(jsonl_schema(schema)).json(jsonl_dir))
         parts.append(lines.withColumn("day", F.to_date("created_at")))

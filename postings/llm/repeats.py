@@ -11,7 +11,8 @@ inside it, the place of the least k-mer hash in its middle. Equal windows name t
 3. Each partition merges its runs with a loser tree over common-prefix lengths, which compares characters beyond known
    prefixes only. Neighbours with the whole context in common form a group; within it windows are compared as bytes of
    equal digest. A suffix with all its windows seen twice is settled at once, and only one copy of it is held.
-4. A group of more than ``GROUP_LIMIT`` different suffixes is not held: its windows go through one more shuffle by digest.
+4. A group of more than ``GROUP_LIMIT`` different suffixes is not held as a whole: it is settled ``GROUP_LIMIT`` suffixes at a
+   time, and each part's different windows, one row each, go through one more shuffle by digest.
 
 Windows are judged on the input, overlap freely and never cross documents. Digests have 128 bits. Null and empty texts
 have no bytes. Repeated rows, ids included, are copies of each other. Null ids stay.
@@ -262,19 +263,24 @@ _FOUND = "k1 bigint, k2 int, first bigint, last bigint, d1 bigint, d2 bigint, we
 
 
 def repeated(entries: Iterator[tuple[int, bytes, tuple]], context: int, limit: int = GROUP_LIMIT) -> Iterator[tuple]:
-    """Rows of ``_FOUND``: windows first to last repeat (no digest), or a window whose digest is to be counted elsewhere."""
+    """Rows of ``_FOUND``: windows first to last repeat (no digest), or a window whose digest is to be counted elsewhere (its
+    owner is known to repeat already where that is null)."""
     members: dict[tuple[bytes, bytes], list] = {}
     wide = False
 
-    def spread(key, entry):
-        n, k1, k2, first = entry
-        whole = key[1] + key[0]
-        for i in range(len(whole) - LENGTH + 1):
-            d = np.frombuffer(xxhash.xxh3_128_digest(whole[i:i + LENGTH]), ">i8").tolist()
-            yield k1, k2, first + i, first + i, d[0], d[1], min(n, 2)
+    def spread(counts):
+        """What others must know: per different window one row, with its owner if it was seen once so far."""
+        for (suffix, left), (n, k1, k2, first) in members.items():
+            whole = left + suffix
+            for i in range(len(whole) - LENGTH + 1):
+                d = xxhash.xxh3_128_digest(whole[i:i + LENGTH])
+                seen = counts.pop(d, 0)
+                if seen:
+                    owner = (k1, k2, first + i, first + i) if seen == 1 else (None, None, None, None)
+                    yield (*owner, *np.frombuffer(d, ">i8").tolist(), min(seen, 2))
 
     def close():
-        if not wide and len(members) > 1:
+        if wide or len(members) > 1:
             counts: Counter = Counter()
             for (suffix, left), entry in members.items():
                 whole = left + suffix
@@ -282,9 +288,8 @@ def repeated(entries: Iterator[tuple[int, bytes, tuple]], context: int, limit: i
                     counts[xxhash.xxh3_128_digest(whole[i:i + LENGTH])] += entry[0]
             for row in _settle(members, counts):
                 yield (*row, None, None, None)
-        elif wide:
-            for key, entry in members.items():
-                yield from spread(key, entry)
+            if wide:
+                yield from spread(counts)
         members.clear()
 
     for shared, suffix, (left, k1, k2, first) in entries:
@@ -329,10 +334,10 @@ def _merge(context: int, limit: int):
 
 
 def _counted(found: DataFrame) -> DataFrame:
-    """Windows that left their group: repeated ones, by digest. A window sent twice (weight 2) is a repeat itself."""
+    """Windows that left their group with an owner, and were seen elsewhere too, by digest."""
     far = found.filter("weight IS NOT NULL")
     total = far.groupBy("d1", "d2").agg(F.sum("weight").alias("n")).filter("n > 1").select("d1", "d2")
-    return far.join(total, ["d1", "d2"]).select("k1", "k2", "first", "last")
+    return far.filter("k1 IS NOT NULL").join(total, ["d1", "d2"], "left_semi").select("k1", "k2", "first", "last")
 
 
 # ---- the operator --------------------------------------------------------------------------

@@ -76,3 +76,16 @@ def test_long_texts_are_cut_without_loss(monkeypatch):
             k = max(i for i in range(len(starts)) if starts[i] <= a)
             parts.add((int(offsets[k] + a - starts[k]), int(c)))
     assert parts == set(whole)
+
+
+def test_a_group_over_the_limit_hands_on_each_window_once():
+    """Many variants of one passage: what leaves a part of the group is one row per different window."""
+    rnd = random.Random(3)
+    passage = bytes(rnd.choice(b"abcdefgh") for _ in range(240))
+    entries = sorted((passage + bytes([65 + k % 26, 65 + k // 26]) * 2, (b"", k, k, 0)) for k in range(60))
+    rows = list(R.repeated(iter([(0 if i == 0 else 240, s, p) for i, (s, p) in enumerate(entries)]), 88, 7))
+    far = [r for r in rows if r[6] is not None]
+    shared = len(passage) - R.LENGTH + 1
+    assert len({(r[4], r[5]) for r in far}) <= shared + 60 * 4 and len(far) < 10 * shared + 60 * 5
+    settled = {(r[0], w) for r in rows if r[6] is None for w in range(r[2], r[3] + 1)}
+    assert {(k, w) for k in range(60) for w in range(shared)} - settled <= {(r[0], r[2]) for r in far if r[0] is not None}

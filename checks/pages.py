@@ -48,7 +48,8 @@ _PATTERN = "(?i)tion|er"
 
 
 def _parsed(spark, sf, markup: str = "html"):
-    return P.html_nodes(table(spark, sf, "pages").withColumn("html", F.expr(markup)))
+    # The stored pages are one file with one row group or two.
+    return P.html_nodes(table(spark, sf, "pages").withColumn("html", F.expr(markup)), partitions=spark.sparkContext.defaultParallelism)
 
 
 def c01(spark, sf):

@@ -326,17 +326,24 @@ def _outline(html: str | None) -> dict:
     return parser.finish()
 
 
-def html_nodes(pages: DataFrame, key: str | list[str] = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",)) -> DataFrame:
+def html_nodes(
+    pages: DataFrame, key: str | list[str] = "page_id", html: str = "html", keep: tuple[str, ...] = ("url",), partitions: int | None = None,
+) -> DataFrame:
     """Parse each page once: keys and kept columns, ``title``, ``text``, ``clean_html``, ``nodes``, and ``parse_error``
     where some markup could not be read (it is skipped up to its ">").
 
     script, style, noscript and template are left out. ``nodes`` is in document order; ``last``
     is the id of an element's last descendant, ``within`` the distinct tags around it. Write the
     result to a table when several of the operators below are to use it.
+
+    Parsing costs far more than reading: ``partitions`` deals the pages anew to so many tasks, for input that comes in
+    fewer files or row groups than there are cores. By default pages are parsed where they are read.
     """
     keys = [key] if isinstance(key, str) else list(key)
     carried = [*keys, *[c for c in keep if c in pages.columns and c not in keys and c != html]]
     source = pages.select(*carried, html)
+    if partitions:
+        source = source.repartition(partitions)
     fields = ", ".join(f"`{c}` {source.schema[c].dataType.simpleString()}" for c in carried)
     node_type = _NODE
 

@@ -1,9 +1,10 @@
 """Chat formatting in windows of a token budget.
 
 A conversation is cut between turns: running sums of turn tokens decide which turns a window takes. Every
-window opens with the conversation's system turn, repeats the latest earlier turns as far as the history budget
-goes, and then holds new turns. The loss mask covers the text of new assistant turns, so each is learned
-once; repeated turns carry no loss. A turn is never cut: one that is longer than the budget has a window of its own.
+window behind it opens with the conversation's first system turn, repeats the latest earlier turns as far as the history
+budget and the window's own go, and then holds new turns. The loss mask covers the text of new assistant turns, so each is
+learned once; repeated turns carry no loss. A turn is never cut: a window exceeds the budget only if the system turn and one
+new turn do.
 
 Rows are dealt by conversation and read in order (turn, role, text; nulls first) as a stream: memory holds one window,
 however long a conversation is. One conversation is read by one task, since windows depend on those before.
@@ -70,24 +71,25 @@ def windows(turns: Iterator[tuple[str, str]], budget: int = BUDGET, history: int
             at += len(parts[-1])
         return "".join(parts), len(lead), held_tokens, loss
 
-    for n, (role, text) in enumerate(turns):
+    for role, text in turns:
         size = count(text) + FRAME
         if held and held_tokens + size > budget:
             yield render()
             # Repeat the latest turns that fit, then let new ones follow.
-            lead, room = ([system] if system else []), history
-            recent = []
+            lead, room, recent = ([system] if system else []), history, []
+            used = sum(t[2] for t in lead) + size
             for turn in reversed(past):
-                if turn[2] > room or turn[2] + size > budget:
+                if turn[2] > room or used + turn[2] > budget:
                     break
                 recent.append(turn)
                 room -= turn[2]
+                used += turn[2]
             lead += reversed(recent)
             held, held_tokens = [], sum(t[2] for t in lead)
         turn = (role, text, size)
         held.append(turn)
         held_tokens += size
-        if n == 0 and role == "system":
+        if role == "system" and system is None:
             system = turn
             continue
         past.append(turn)

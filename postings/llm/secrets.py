@@ -49,7 +49,7 @@ BASE = (
 # Published shapes of credentials.
 ADDED = (
     Rule("private_key", 1, r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
-    Rule("web_token", 1, r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
+    Rule("web_token", 2, r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),  # not from within a run: linear
     Rule("chat_token", 1, r"xox[abprs]-[A-Za-z0-9-]+", 0, 15),
     Rule("code_token", 1, r"gh[opsu]_[A-Za-z0-9]+", 0, 40),
     Rule("url_password", 1, r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,100}:[^\s:/@]{1,100}@"),

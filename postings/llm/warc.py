@@ -107,12 +107,22 @@ def parse_arc(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         else:
             if names is None:
                 raise ValueError("no file record")
-            if len(parts) != len(names):
-                raise ValueError(f"{len(parts)} header fields at {at}, not {len(names)}")
-            yield at, dict(zip(names, parts)), content
+            yield at, _fields(parts, names, at), content
         at = end + 1 + size
 
 
+def _fields(parts: list[str], names: tuple[str, ...], at: int) -> dict[str, str]:
+    """Header fields by name. URLs and content types of old archives hold blanks: the date, which has 14 digits and an address
+    before it, tells where the URL ends; the fields behind the content type are counted from the end."""
+    tail = len(names) - 4
+    dates = [k for k in range(2, len(parts) - tail) if re.fullmatch(r"\d{14}", parts[k])]
+    if not dates:
+        raise ValueError(f"no header fields {' '.join(names)} at {at}")
+    date = next((k for k in dates if re.fullmatch(r"[\d.]+|[0-9A-Fa-f:]*:[0-9A-Fa-f:.]*", parts[k - 1])), dates[0])
+    end = len(parts) - tail
+    return dict(zip(names, [" ".join(parts[:date - 1]), parts[date - 1], parts[date], " ".join(parts[date + 1:end]), *parts[end:]]))
+
+
 def split_http(content: bytes) -> tuple[dict[str, str], bytes, bytes]:
     """Header fields (lower case), raw head, body of a stored HTTP message; no head if there is none."""
     if not content.startswith(b"HTTP/"):
@@ -164,22 +174,25 @@ def _chunks(rows: Iterator[tuple], names: list[str], types: list, most: int = 16
 
 
 def read_arc(spark: SparkSession, roots: list[str], with_content: bool = True) -> DataFrame:
-    """Records of all archives: identifier, page id text, URL, ISO date, digest and size of the payload, HTTP message."""
-    names = ["record_id", "page", "url", "date", "payload_digest", "payload_bytes"] + ["message"] * with_content
-    types = [pa.string()] * 5 + [pa.int64()] + [pa.string()] * with_content
+    """Records of all archives: identifier, page id text, URL, ISO date, digest and size of the payload, and as bytes, of
+    whatever kind, the HTTP head and the whole message."""
+    names = ["record_id", "page", "url", "date", "payload_digest", "payload_bytes"] + ["head", "message"] * with_content
+    types = [pa.string()] * 5 + [pa.int64()] + [pa.binary()] * 2 * with_content
 
     def rows(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
                 name = path.as_py().rsplit("/", 2)[-2:]
                 for at, head, message in parse_arc(_gunzip(content.as_py())):
-                    fields, _, body = split_http(message)
+                    fields, http, body = split_http(message)
                     record = uuid.uuid5(uuid.NAMESPACE_URL, f"{'/'.join(name)}#{at}")
-                    row = (f"<urn:uuid:{record}>", fields.get(PAGE_HEADER.lower()), head["URL"], iso_date(head["Archive-date"]), digest(body), len(body))
-                    yield (*row, message.decode("utf-8")) if with_content else row
+                    # A blank or a byte that is no UTF-8 cannot stand in a header line of the new format.
+                    url = re.sub(r"\s", "%20", head["URL"].encode("utf-8", "surrogateescape").decode("utf-8", "replace"))
+                    row = (f"<urn:uuid:{record}>", fields.get(PAGE_HEADER.lower()), url, iso_date(head["Archive-date"]), digest(body), len(body))
+                    yield (*row, http, message) if with_content else row
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(roots).select("path", "content")
-    return files.mapInArrow(lambda b: _chunks(rows(b), names, types), _RECORD + ", message string" * with_content)
+    return files.mapInArrow(lambda b: _chunks(rows(b), names, types), _RECORD + ", head binary, message binary" * with_content)
 
 
 # ---- WARC ----------------------------------------------------------------------------------
@@ -187,8 +200,7 @@ def read_arc(spark: SparkSession, roots: list[str], with_content: bool = True) -
 
 def warc_record(kind: Column, r: dict[str, Column], refers: Column, refers_url: Column, refers_date: Column) -> Column:
     """One WARC 1.1 record. Revisits keep the HTTP head and drop the payload."""
-    head_end = F.locate("\r\n\r\n", r["message"])
-    block = F.when(kind == "revisit", F.when(head_end > 0, F.substring(r["message"], F.lit(1), head_end + 3)).otherwise("")).otherwise(r["message"])
+    block = F.when(kind == "revisit", r["head"]).otherwise(r["message"])
     line = lambda name, value: F.coalesce(F.concat(F.lit(f"{name}: "), value, F.lit(CRLF)), F.lit(""))
     only = lambda value: F.when(kind == "revisit", value)
     return F.concat(
@@ -196,7 +208,7 @@ def warc_record(kind: Column, r: dict[str, Column], refers: Column, refers_url:
         line("WARC-Target-URI", r["url"]), line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), r["payload_digest"])),
         line("WARC-Refers-To", only(refers)), line("WARC-Refers-To-Target-URI", only(refers_url)), line("WARC-Refers-To-Date", only(refers_date)),
         line("WARC-Profile", only(F.lit(REVISIT_PROFILE))), F.lit("Content-Type: application/http;msgtype=response\r\n"),
-        line("Content-Length", F.octet_length(block).cast("string")), F.lit(CRLF), block)
+        line("Content-Length", F.octet_length(block).cast("string")), F.lit(CRLF), block.cast("string"))  # the bytes as they are
 
 
 def convert(spark: SparkSession, arc_roots: list[str], warc_root: str, least_bytes: int = 0, per_file: int = PER_FILE) -> None:

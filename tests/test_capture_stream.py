@@ -71,6 +71,26 @@ def test_scan_agrees_with_the_stream(spark):
         map(tuple, C.scan_captures(spark, root).select("domain", "stem", "html", "url", "title").collect()))
 
 
+def test_many_files_are_listed_by_folder(spark):
+    root = scratch_dir(spark, "many-files")
+    for k in range(300):
+        put(root, f"e.com/reduced_focus/{k}.html", f"<p>{k}</p>")
+        put(root, f"e.com/meta/{k}.json", '{"url": "https://e.com/%d", "title": "T"}' % k)
+    put(root, "e.com/reduced_focus/note.txt", "no page")
+    put(root, "e.com/reduced_focus/old/0.html", "no page")
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        pages = C.scan_captures(spark, root)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("listing")  # no job with a task per file
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert pages.filter("url = 'https://e.com/' || stem").count() == 300
+    query = SC.capture_stream(spark, root).writeStream.format("memory").queryName("many").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert spark.table("many").count() == 300 == pages.count()
+    assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 300
+
+
 def test_parts_of_long_pages_become_one_page(spark):
     rows = [(1, 0, '{"page_title": "One", "jobs": [{"title": "A", "job_url": "/a"}, {"title": "B", "job_url": "/b"}]}'),
             (1, 1, '{"page_title": "Two", "jobs": [{"title": "B", "job_url": "/B", "company": "C"}, {"title": "D", "job_url": "/d"}]}'),

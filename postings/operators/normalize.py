@@ -1,14 +1,13 @@
 """Cleaning and deduplication of extracted postings.
 
-Every step is a projection except :func:`dedupe_jobs`, whose ``max_by`` is combined on the map
-side: however many copies one posting has, each task sends at most one of them to the shuffle.
+Every step is a projection except :func:`dedupe_jobs`, which sorts the copies of each posting after one shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -147,17 +146,20 @@ def richness_score(jobs: DataFrame, out: str = "score") -> DataFrame:
 def dedupe_jobs(jobs: DataFrame, page: str | Sequence[str] = "page", pos: str = "pos") -> DataFrame:
     """Per page and signature keep the richest copy, the earliest of equals.
 
-    The kept copy takes the position of the first one; ``copies`` counts all of them. Copies are reduced within each task
-    before the shuffle and again after it; whole rows do not fit a hash buffer, so both steps sort. Input needs
-    ``sig`` and ``score`` (:func:`job_signature`, :func:`richness_score`).
+    The kept copy takes the position of the first one; ``copies`` counts all of them. Rows are shuffled and sorted once,
+    with the columns that are asked for later, and none are sorted before the shuffle, where a task's part of
+    the input is as large as its file split. Input needs ``sig`` and ``score`` (:func:`job_signature`, :func:`richness_score`).
     """
     keys = [page] if isinstance(page, str) else list(page)
     carried = [c for c in jobs.columns if c not in {*keys, "sig", pos}]
-    best = F.max_by(F.struct(*carried), F.struct(F.col("score"), -F.col(pos)))
+    ranked = Window.partitionBy(*keys, "sig").orderBy(F.asc_nulls_first("score"), F.desc_nulls_first(pos))
+    group = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        jobs.groupBy(*keys, "sig")
-        .agg(best.alias("best"), F.min(pos).alias(pos), F.count(F.lit(1)).alias("copies"))
-        .select(*keys, "sig", pos, "copies", *[F.col("best")[c].alias(c) for c in carried])
+        jobs.withColumns({
+            "_rank": F.row_number().over(ranked), "_first": F.min(pos).over(group), "copies": F.count(F.lit(1)).over(group),
+        })
+        .filter("_rank = copies")  # of equals without a position the last
+        .select(*keys, "sig", F.col("_first").alias(pos), "copies", *[c for c in carried if c != "copies"])
     )
 
 

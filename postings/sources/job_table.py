@@ -63,6 +63,8 @@ def merge_versions(rows: DataFrame, *keep: str) -> DataFrame:
 
     columns = [c for c in JOBS.fieldNames() if c not in ("job_url", "first_seen_at")]
     first = F.min_by(F.struct("first_seen_at"), "seq")["first_seen_at"].alias("first_seen_at")
+    # Brought together first, so that commits are sorted once, after the shuffle.
+    rows = rows.repartition("job_url", *keep)
     return rows.groupBy("job_url", *keep).agg(first, *map(last, columns)).select(*JOBS.fieldNames(), *keep)
 
 

@@ -10,6 +10,7 @@ from checks.compare import compare, connect
 from checks.registry import ORACLES, QUERIES
 from postings.operators.extraction import results_of, with_decoded_json
 from postings.operators import logs as H
+from postings.operators import normalize as N
 from postings.operators import pages as P
 from postings.operators import upsert as G
 from postings.plans import dashboard as D
@@ -52,6 +53,33 @@ def test_validation(spark):
     assert G.validate_jobs(typed)[0].count() == 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+
+
+def test_deduplication_sorts_after_the_shuffle_only(spark):
+    """No aggregation of whole rows in the task that reads the input, and only the columns that are asked for travel."""
+    jobs = postings(spark, ("u", "A", None, None, None, 1), ("u", "B", "C", None, None, 2), ("u", "D", "E", None, None, 2), ("v", "F", None, None, None, 1))
+    kept = N.dedupe_jobs(jobs.withColumnRenamed("job_url", "sig"))
+    assert sorted((r.sig, r.title, r.pos, r.copies) for r in kept.collect()) == [("u", "B", 0, 3), ("v", "F", 3, 1)]
+    assert "SortAggregate" not in plan_of(kept) and plan_of(kept).count("Sort [") == 1
+    assert "page_title" not in plan_of(kept.select("sig", "pos"))
+    batch = records_from_jobs(jobs, NOW)[0]
+    assert "SortAggregate" not in plan_of(G.dedupe_batch(batch)) and plan_of(G.dedupe_batch(batch)).count("Sort [") == 1
+    assert sorted((r.job_url, r.title) for r in G.dedupe_batch(batch).collect()) == [("u", "B"), ("v", "F")]
+
+
+def test_large_days_of_a_log_are_written_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(T, "LOG_BYTES", 100_000)
+    rows = spark.range(200).select(*[(F.lit(NOW).cast("timestamp") if f.name == "created_at" else F.repeat(F.lit("frame "), 1000) if f.name == "stack_trace"
+                                      else F.concat(F.lit("m"), F.col("id").cast("string")) if f.name == "message" else F.lit(None)).cast(f.dataType).alias(f.name) for f in ERROR_LOGS.fields])
+    path = scratch_dir(spark, "sliced-log")
+    T.write_log(rows, path, ERROR_LOGS, "b")
+    stored = T.read_error_logs(spark, path)
+    assert (stored.count(), stored.select("message").distinct().count()) == (200, 200)
+    assert stored.select(F.input_file_name()).distinct().count() >= 4
+
+
 def test_strict_pages(spark):
     jobs = postings(spark, ("u1", "A", None, None, None, 1), ("", "B", None, None, None, 1), ("", "C", None, None, None, 1)).unionByName(
         postings(spark, ("u1", "A", None, None, None, 1)).withColumn("page", F.lit(2)))

@@ -124,6 +124,25 @@ def test_load_counts_invalid_pages(spark):
     assert [(r.run_id, r.step) for r in loaded.steps.collect()] == [("run", "db_complete")]
 
 
+def test_load_decodes_once(spark):
+    """With a folder to store them, responses are read once for all outputs."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(1, '{"jobs": [{"title": 5, "job_url": "/x"}, "note"]}'), (2, '{"jobs": [{"title": "A", "job_url": "/a"}, {"title": "B"}, 7]}'), (3, "no json")]
+    responses = spark.createDataFrame(rows, "page int, response string").withColumns(
+        {"domain": F.lit("e.com"), "url": F.lit("https://e.com/l"), "title": F.lit("T")})
+    loaded = load_responses(responses.mapInArrow(count, responses.schema), NOW, "run", store=scratch_dir(spark, "load"))
+    assert [r.job_url for r in loaded.records.collect()] == ["https://e.com/a"]
+    assert [tuple(r) for r in loaded.summary.collect()] == [("e.com", 1, 4, 1)]
+    assert sorted(r.stage for r in loaded.errors.collect()) == ["parse_json", "validate_job", "validate_page"]
+    assert seen.value == 3
+
+
 def test_one_pass_splits(spark):
     """The input is evaluated once for both halves."""
     seen = spark.sparkContext.accumulator(0)

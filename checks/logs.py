@@ -88,8 +88,8 @@ _MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
 
 def _lines(df, path):
-    """Write rows the way the file fallback does: an object per line, times in full."""
-    df.withColumn("metadata", F.parse_json("metadata")).write.option("timestampNTZFormat", _MICROS).json(path)
+    """Write rows the way the file fallback does: an object per line, times in full; compressed, as logs are kept."""
+    df.withColumn("metadata", F.parse_json("metadata")).write.option("timestampNTZFormat", _MICROS).option("compression", "gzip").json(path)
 
 
 def a09(spark, sf):

@@ -3,13 +3,15 @@
 Every word that occurs before another has a restaurant: customers are the words that follow it, tables are served from a
 parent restaurant that all contexts share, and the parent's own tables from a uniform choice among the known words and one
 unknown. Seating is sampled: a sweep takes each dish out of a context and seats its customers again one after the other,
-given all other tables (Gibbs over blocks of customers). Probabilities are averaged over the samples after the burn-in.
+given all other tables as the sweep found them (Gibbs over blocks of customers). Probabilities are averaged over the samples after the burn-in.
 
 Work is dealt by dish (the following word). Blocks of texts send their distinct word pairs once, packed; a task has
 all contexts of its dishes, so the parent's tables of these are its own. What it lacks, the tables of a context over all
-dishes, it estimates from its hash share of the dishes while sampling; for the probabilities the exact sums of
-every sample are taken. Every distribution thus sums to one over the known words and the unknown one. Counts, samples and sums cover all
-training texts and grow with them; no table of the model is ever whole in one place.
+dishes, is summed before every sweep: each context belongs to one part, which adds up what all parts have seated there and
+answers those that seat it anew. The parent's totals are summed as well. Nothing is estimated from a part of the dishes, so
+sweeps and probabilities rest on the same exact sums, and every distribution sums to one over the known words and the unknown
+one. A dish with one customer in a context has one table there for good; only its number is kept. Counts, samples and sums
+cover all training texts and grow with them; no table of the model is ever whole in one place.
 
 A text is its words and one end token, A-Z in lower case; the first word follows a start token. Null and empty texts are one end token. Words
 are known by 64-bit hashes, contexts and pairs by their upper 48 bits. Repeated rows count as often as they occur.
@@ -76,6 +78,30 @@ def _unpack48(b: bytes) -> np.ndarray:
     return (np.cumsum(a, dtype=np.uint64) if b[0] else a) << _U(16)
 
 
+def _fold(a: np.ndarray) -> np.ndarray:
+    """Signed integers as unsigned ones, small if near zero."""
+    return (a << 1) ^ (a >> 63)
+
+
+def _unfold(a: np.ndarray) -> np.ndarray:
+    return (a >> 1) ^ -(a & 1)
+
+
+def _pack_steps(a: np.ndarray) -> bytes:
+    """Integers that mostly rise in small steps, as signed differences, byte by byte, compressed."""
+    steps = _fold(np.diff(a.astype(np.int64), prepend=0)).astype("<u8")
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
+    planes = np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8)[:, :width].T)
+    return bytes([width]) + zstandard.ZstdCompressor(LEVEL).compress(planes.tobytes())
+
+
+def _unpack_steps(b: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(b[1:]), np.uint8).reshape(b[0], -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :b[0]] = planes.T
+    return np.cumsum(_unfold(steps.reshape(-1).view("<i8")))
+
+
 def part_of(words: np.ndarray, parts: int) -> np.ndarray:
     return ((words >> _U(20)) % _U(parts)).astype(np.int64)
 
@@ -189,137 +215,197 @@ def seat(counts: np.ndarray, elsewhere: np.ndarray, served: np.ndarray, discount
         seated += step
 
 
-def sample_part(word: np.ndarray, context: np.ndarray, counts: np.ndarray, n_words: int, share: float, seed: int):
-    """Samples of one part: tables of each pair, and of each word in the parent.
+def sweep(word: np.ndarray, context: np.ndarray, counts: np.ndarray, single: np.ndarray, tables: np.ndarray, parent: np.ndarray,
+          here: np.ndarray, known: float, guests_all: float, parents_all: float, rnd: np.random.Generator):
+    """One sweep over the pairs of a part that have several customers: their tables, and per word its tables in all contexts
+    (guests of the parent) and the parent's tables.
 
-    ``word``: number of the pair's word; ``context``: number of its context; counts >= 1; ``share``: part of all dishes that is here.
+    ``word``, ``context``, ``counts`` (>= 2), ``tables``: of each pair; ``single``: per word its pairs of one customer; ``parent``:
+    the parent's tables of each word. Over all parts: ``here``, tables of each context; ``known``, words; ``guests_all`` and
+    ``parents_all``, guests and tables of the parent.
     """
-    rnd = np.random.default_rng(seed)
-    tables = np.ones(len(counts), np.int64)
-    several = np.flatnonzero(counts > 1)
-    n_contexts = int(context.max()) + 1 if len(context) else 0
-    out = []
-    parent_tables = np.minimum(1, np.bincount(word, weights=tables, minlength=n_words)).astype(np.int64)
-    for sweep in range(BURN_IN + SAMPLES):
-        guests = np.bincount(word, weights=tables, minlength=n_words).astype(np.int64)
-        base = 1.0 / max(2.0, (guests > 0).sum() / share + 1)
-        # The parent's own seating, then the odds it serves a dish with.
-        known = np.flatnonzero(guests)
-        total = parent_tables.sum() / share
-        parent_tables = np.zeros(n_words, np.int64)
-        parent_tables[known] = seat(guests[known], np.full(len(known), total), np.full(len(known), base), PARENT_DISCOUNT, PARENT_STRENGTH, rnd)
-        serve = (guests - PARENT_DISCOUNT * parent_tables + (PARENT_STRENGTH + PARENT_DISCOUNT * parent_tables.sum() / share) * base) / (PARENT_STRENGTH + guests.sum() / share)
-        here = np.bincount(context, weights=tables, minlength=n_contexts) / share
-        if len(several):
-            own = here[context[several]] - tables[several]
-            tables[several] = seat(counts[several], np.maximum(own, 0), serve[word[several]], DISCOUNT, STRENGTH, rnd)
-        if sweep >= BURN_IN:
-            guests = np.bincount(word, weights=tables, minlength=n_words).astype(np.int64)
-            out.append((tables.copy(), guests, np.minimum(parent_tables, guests)))
-    return out
-
-
-_OUT = "kind string, block bigint, part int, a binary, b binary, c binary, d binary, total array<double>"
-_NAMES = ["kind", "block", "part", "a", "b", "c", "d", "total"]
-_TYPES = [pa.string(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.float64())]
-
-
-def _rows(rows):
-    for row in rows:
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES)], _NAMES)
-
-
-def _learn(parts: int):
-    """Sums the pairs of a part, samples, and answers: per block (counts, tables), per context's part (tables), totals."""
+    base = 1.0 / (known + 1)
+    guests = single + np.bincount(word, weights=tables, minlength=len(single)).astype(np.int64)
+    serve = (guests - PARENT_DISCOUNT * parent + (PARENT_STRENGTH + PARENT_DISCOUNT * parents_all) * base) / (PARENT_STRENGTH + guests_all)
+    if len(counts):
+        tables = seat(counts, here[context] - tables, serve[word], DISCOUNT, STRENGTH, rnd)
+        guests = single + np.bincount(word, weights=tables, minlength=len(single)).astype(np.int64)
+    # The parent's own seating follows, so that it fits the tables that are its guests.
+    dishes, seated = np.flatnonzero(guests), np.zeros(len(single), np.int64)
+    if len(dishes):
+        seated[dishes] = seat(guests[dishes], parents_all - parent[dishes], np.full(len(dishes), base), PARENT_DISCOUNT, PARENT_STRENGTH, rnd)
+    return tables, guests, seated
+
+
+_NAMES = ["kind", "block", "part", "a", "b", "c", "d", "total", "e", "f", "g", "h"]
+_TYPES = [pa.string(), pa.int64(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.float64()), *[pa.binary()] * 4]
+_SENT = "kind string, block bigint, part int, a binary, b binary, c binary, d binary, total array<double>"
+#: The first answers keep what sweeps read (e to h) apart from what blocks get.
+_FIRST = f"{_SENT}, e binary, f binary, g binary, h binary"
+
+
+def _part_wise(answer, width: int = 8):
+    """All rows of a part, its column first, to ``answer(part, rows)``; rows of ``width`` columns from what it yields."""
     def run(batches):
         by_part: dict[int, list] = {}
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 by_part.setdefault(row[0], []).append(row[1:])
         for part in sorted(by_part):
-            yield from _rows(_learn_part(part, by_part.pop(part), parts))
+            for row in answer(part, by_part.pop(part)):
+                row = [*row, *[None] * (width - len(row))]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES)], _NAMES[:width])
 
     return run
 
 
-def _learn_part(part: int, asked: list, parts: int):
-    words = np.unique(np.concatenate([np.frombuffer(r[1], np.uint64) for r in asked]))
-    contexts = np.unique(np.concatenate([_unpack48(r[3]) for r in asked]))
-    keys, seen = [], []
-    for _, raw, per_word, context, chosen, counts in asked:
-        number = np.searchsorted(words, np.repeat(np.frombuffer(raw, np.uint64), _unpack(per_word)))
-        keys.append(number << 32 | np.searchsorted(contexts, _unpack48(context))[_unpack(chosen)])
-        seen.append(_unpack(counts))
-    pairs, which = np.unique(np.concatenate(keys), return_inverse=True)
-    counts = np.bincount(which, weights=np.concatenate(seen), minlength=len(pairs)).astype(np.int64)
-    trained = np.flatnonzero(counts)
-    word, context = pairs[trained] >> 32, pairs[trained] & (2**32 - 1)
-    samples = sample_part(word, context, counts[trained], len(words), 1.0 / parts, part)
-    word_counts = np.bincount(word, weights=counts[trained], minlength=len(words)).astype(np.int64)
-    per_pair = []
-    for tables, _, _ in samples:
-        every = np.zeros(len(pairs), np.int64)
-        every[trained] = tables
-        per_pair.append(every)
-    at = 0
-    for (block, raw, *_), own in zip(asked, keys):
-        mine = np.searchsorted(words, np.frombuffer(raw, np.uint64))
-        pair = which[at:at + len(own)]
-        at += len(own)
-        # Tables are sent as what they are fewer than the customers: most are not, and zeros cost little.
-        stats = np.concatenate([word_counts[mine], *[np.concatenate([(word_counts - g)[mine], (g - t)[mine]]) for _, g, t in samples]])
-        fewer = np.concatenate([(counts - p)[pair] for p in per_pair])
-        yield "block", block, part, _pack(stats), _pack(counts[pair]), _pack(fewer), None, None
-    # Tables of each context over the dishes here, to the context's own part.
-    sums = [np.bincount(context, weights=t, minlength=len(contexts)).astype(np.int64) for t, _, _ in samples]
-    owner = part_of(contexts, parts)
-    for p in np.unique(owner):
-        here = owner == p
-        yield "context", None, int(p), _pack48(contexts[here]), _pack(np.concatenate([s[here] for s in sums])), None, None, None
-    yield "total", None, part, None, None, None, None, [
-        float(word_counts.sum()), float((word_counts > 0).sum()), *[float(x) for _, g, t in samples for x in (g.sum(), t.sum())]]
-
-
-def _context_tables(parts: int):
+def _learn(parts: int):
+    """Sums the pairs of a part. Answers: to blocks their counts, kept with what finds their tables later; the pairs to sweep;
+    dishes per context, to the context's own part; totals."""
+    def answer(part: int, asked: list):
+        words = np.unique(np.concatenate([np.frombuffer(r[1], np.uint64) for r in asked]))
+        contexts = np.unique(np.concatenate([_unpack48(r[3]) for r in asked]))
+        keys, seen = [], []
+        for _, raw, per_word, context, chosen, counts in asked:
+            number = np.searchsorted(words, np.repeat(np.frombuffer(raw, np.uint64), _unpack(per_word)))
+            keys.append(number << 32 | np.searchsorted(contexts, _unpack48(context))[_unpack(chosen)])
+            seen.append(_unpack(counts))
+        sizes = [len(k) for k in keys]
+        pairs, which = np.unique(np.concatenate(keys), return_inverse=True)
+        counts = np.bincount(which, weights=np.concatenate(seen), minlength=len(pairs)).astype(np.int64)
+        del keys, seen
+        word, context = pairs >> 32, pairs & (2**32 - 1)
+        word_counts = np.bincount(word, weights=counts, minlength=len(words)).astype(np.int64)
+        several = np.flatnonzero(counts > 1)
+        place = np.zeros(len(pairs), np.int64)
+        place[several] = np.arange(len(several))
+        at = 0
+        for (block, raw, *_), size in zip(asked, sizes):
+            pair = which[at:at + size]
+            at += size
+            own = counts[pair]
+            mine = np.searchsorted(words, np.frombuffer(raw, np.uint64))
+            yield "block", block, part, _pack(word_counts[mine]), _pack(own), _pack_steps(place[pair[own > 1]]), _pack_steps(mine)
+        # Contexts with a pair to sweep are numbered by owner, then hash: the order in which owners answer.
+        owner = part_of(contexts, parts)
+        swept = np.zeros(len(contexts), bool)
+        swept[context[several]] = True
+        held = np.flatnonzero(swept)
+        rank = np.zeros(len(contexts), np.int64)
+        rank[held[np.argsort(owner[held], kind="stable")]] = np.arange(len(held))
+        single = np.bincount(word[counts == 1], minlength=len(words))
+        yield "state", None, part, *[None] * 5, _pack_steps(word[several]), _pack(rank[context[several]]), _pack(counts[several]), _pack(single)
+        dishes = np.bincount(context[counts > 0], minlength=len(contexts))
+        order = np.flatnonzero(dishes)
+        order = order[np.argsort(owner[order], kind="stable")]
+        cuts = np.searchsorted(owner[order], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cuts)):
+            here = order[cuts[p]:cuts[p + 1]]
+            yield "context", part, int(p), *[None] * 5, _pack48(contexts[here]), _pack(dishes[here]), _pack(swept[here].astype(np.int64))
+        known = float((word_counts > 0).sum())
+        yield "total", None, part, *[None] * 4, [float(word_counts.sum()), known, float((counts > 0).sum()), known]
+
+    return _part_wise(answer, len(_NAMES))
+
+
+def _owned(rows: list) -> tuple[np.ndarray, np.ndarray, dict]:
+    """Contexts of a part, their dishes over all parts, and per part that seats some anew the places of these."""
+    own = [(r[1], _unpack48(r[2]), _unpack(r[3]), _unpack(r[4]).astype(bool)) for r in rows if r[0] == "context"]
+    known = np.unique(np.concatenate([k for _, k, _, _ in own])) if own else np.zeros(0, np.uint64)
+    dishes, places = np.zeros(len(known), np.int64), {}
+    for source, keys, n, swept in own:
+        at = np.searchsorted(known, keys)
+        dishes[at] += n
+        if swept.any():
+            places[source] = at[swept]
+    return known, dishes, places
+
+
+def _sums(part: int, rows: list):
+    """Exact tables of the contexts of a part, to the parts that seat them anew: one per dish, and what the last sweep added."""
+    _, tables, places = _owned(rows)
+    for kind, source, more, *_ in rows:
+        if kind != "context":
+            tables[places[source]] += _unpack(more)
+    for source in sorted(places):
+        yield "sums", part, source, _pack(tables[places[source]])
+
+
+def _sweep(number: int, known: float, guests_all: float, parents_all: float):
+    """Seats the pairs of a part anew. Answers: tables beyond the first of each pair, and of each word how many fewer guests than
+    customers and parent's tables than guests it has; tables beyond the first per context, to the context's own part; totals."""
+    def answer(part: int, rows: list):
+        by_kind: dict[str, list] = {}
+        for kind, *row in rows:
+            by_kind.setdefault(kind, []).append(row)
+        _, word, context, counts, single = by_kind["state"][0]
+        word, context, counts, single = _unpack_steps(word), _unpack(context), _unpack(counts), _unpack(single)
+        sums = {owner: _unpack(tables) for owner, tables, *_ in sorted(by_kind.get("sums", []), key=lambda r: r[0])}
+        here = np.concatenate([np.zeros(0, np.int64), *sums.values()])
+        if number:
+            _, tables, _, fewer, _ = by_kind["tables"][0]
+            tables = _unpack(tables) + 1
+            parent = single + np.bincount(word, weights=tables, minlength=len(single)).astype(np.int64) - _unpack(fewer)
+        else:
+            tables, parent = np.ones(len(word), np.int64), np.minimum(1, single + np.bincount(word, minlength=len(single)))
+        tables, guests, parent = sweep(word, context, counts, single, tables, parent, here, known, guests_all, parents_all, np.random.default_rng([part, number]))
+        customers = single + np.bincount(word, weights=counts, minlength=len(single)).astype(np.int64)
+        yield "tables", None, part, _pack(tables - 1), _pack(customers - guests), _pack(guests - parent)
+        more = np.bincount(context, weights=tables - 1, minlength=len(here)).astype(np.int64)
+        at = 0
+        for owner, theirs in sums.items():
+            yield "more", part, owner, _pack(more[at:at + len(theirs)])
+            at += len(theirs)
+        yield "total", None, part, *[None] * 4, [float(guests.sum()), float(parent.sum())]
+
+    return _part_wise(answer)
+
+
+def _seated(part: int, rows: list):
+    """To every block, per sample: how many fewer than its customers the tables of each of its words are, and how many fewer than
+    those the parent's (later samples by how they differ from the first); tables beyond the first of its pairs with several customers."""
+    samples = [(_unpack(a), _unpack(b), _unpack(c)) for kind, _, a, b, c in sorted((r for r in rows if r[0] != "block"), key=lambda r: int(r[0][6:]))]
+    for kind, block, places, mine, _ in rows:
+        if kind == "block":
+            places, mine = _unpack_steps(places), _unpack_steps(mine)
+            stats = [_fold(x[mine] - samples[0][i][mine]) if n else x[mine] for n, (_, *own) in enumerate(samples) for i, x in enumerate(own, 1)]
+            yield "pairs", block, part, _pack(np.concatenate(stats)), _pack(np.concatenate([more[places] for more, _, _ in samples]))
+
+
+def _context_tables(part: int, rows: list):
     """Exact tables per context and sample, answered to every block that asks for its words."""
-    def run(batches):
-        given: dict[int, list] = {}
-        asked: dict[int, list] = {}
-        for batch in batches:
-            for part, block, keys, values in zip(*(c.to_pylist() for c in batch.columns)):
-                (given if block is None else asked).setdefault(part, []).append((block, keys, values))
-        for part, requests in asked.items():
-            parts_given = [(_unpack48(k), _unpack(v).reshape(SAMPLES, -1)) for _, k, v in given.get(part, [])]
-            known = np.unique(np.concatenate([k for k, _ in parts_given])) if parts_given else np.zeros(0, np.uint64)
-            sums = np.zeros((SAMPLES, len(known) + 1), np.int64)
-            for keys, values in parts_given:
-                sums[:, np.searchsorted(known, keys)] += values
-            for block, keys, _ in requests:
-                wanted = _unpack48(keys)
-                at = np.searchsorted(known, wanted)
-                at[at == len(known)] = len(known)
-                if len(known):
-                    at = np.where((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == wanted), at, len(known))
-                yield from _rows([("tables", block, part, _pack(sums[:, at].ravel()), None, None, None, None)])
-
-    return run
+    known, dishes, places = _owned(rows)
+    sums = np.zeros((SAMPLES, len(known) + 1), np.int64)
+    sums[:, :-1] = dishes
+    for kind, source, more, *_ in rows:
+        if kind.startswith("more"):
+            sums[int(kind[4:]), places[source]] += _unpack(more)
+    for kind, block, keys, *_ in rows:
+        if kind == "want":
+            wanted = _unpack48(keys)
+            at = np.searchsorted(known, wanted)
+            if len(known):
+                at = np.where((at < len(known)) & (known[np.minimum(at, len(known) - 1)] == wanted), at, len(known))
+            yield "contexts", block, part, _pack(sums[:, at].ravel())
 
 
 def _asks(parts: int):
+    """Per block and part: the words whose tables as contexts it needs; the start token under a number below zero."""
+    def row(part: int, block: int, words: np.ndarray):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array(["want"]), pa.array([block]), pa.array([_pack48(words & _HIGH)]), *[pa.array([None], pa.binary())] * 2],
+            ["part", "kind", "block", "a", "b", "c"])
+
     def run(batches):
+        start = np.array([START], np.uint64)
         for batch in batches:
             for number, raw in zip(*batch.columns):
                 words = np.frombuffer(raw.as_py(), np.uint64)
                 cuts = np.searchsorted(part_of(words, parts), np.arange(parts + 1))
                 for p in range(parts):
                     if cuts[p] < cuts[p + 1]:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array([p], pa.int32()), pa.array([number.as_py()]), pa.array([_pack48(words[cuts[p]:cuts[p + 1]] & _HIGH)]), pa.array([None], pa.binary())],
-                            ["part", "block", "keys", "sums"])
-                start = np.array([START], np.uint64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([int(part_of(start, parts)[0])], pa.int32()), pa.array([-1 - number.as_py()]), pa.array([_pack48(start)]), pa.array([None], pa.binary())],
-                    ["part", "block", "keys", "sums"])
+                        yield row(p, number.as_py(), words[cuts[p]:cuts[p + 1]])
+                yield row(int(part_of(start, parts)[0]), -1 - number.as_py(), start)
 
     return run
 
@@ -335,33 +421,39 @@ def _apply(totals: list[float], kind: pa.DataType):
             for ids, learn, sizes, packed, answers in zip(*batch.columns):
                 tokens, sizes = _unpack(packed.as_py()), np.array(sizes.as_py(), np.int64)
                 ids, learn = ids.as_py(), learn.as_py()
-                stats, counts, tables, first, rest, start = [], [], [], [], [], None
+                seen, counts, stats, more, first, start = [], [], [], [], [], None
                 for a in sorted(answers.as_py(), key=lambda a: a["part"]):
                     if a["kind"] == "block":
-                        stats.append(_unpack(a["a"]).reshape(1 + 2 * SAMPLES, -1))
+                        seen.append(_unpack(a["a"]))
                         counts.append(_unpack(a["b"]))
-                        tables.append(counts[-1] - _unpack(a["c"]).reshape(SAMPLES, -1))
+                    elif a["kind"] == "pairs":
+                        stats.append(_unpack(a["a"]).reshape(2 * SAMPLES, -1))
+                        more.append(_unpack(a["b"]).reshape(SAMPLES, -1))
                     elif a["block"] < 0:
                         start = _unpack(a["a"])
                     else:
                         first.append(_unpack(a["a"]).reshape(SAMPLES, -1))
-                stats, counts, tables, first = np.concatenate(stats, 1), np.concatenate(counts), np.concatenate(tables, 1), np.concatenate(first, 1)
-                pairs, which = _pairs(sizes, tokens, stats.shape[1])
+                seen, counts, stats, more, first = np.concatenate(seen), np.concatenate(counts), np.concatenate(stats, 1), np.concatenate(more, 1), np.concatenate(first, 1)
+                pairs, which = _pairs(sizes, tokens, len(seen))
                 word, context = pairs >> 32, pairs & (2**32 - 1)
                 # Customers of a context: its word's training tokens; of the start: the training texts.
-                guests = np.append(stats[0], totals_texts)
+                guests = np.append(seen, totals_texts)
+                several = np.flatnonzero(counts > 1)
                 p = np.zeros(len(pairs))
                 for s in range(SAMPLES):
-                    c0 = stats[0] - stats[1 + 2 * s]
-                    t0 = c0 - stats[2 + 2 * s]
+                    tables = np.minimum(counts, 1)
+                    tables[several] += more[s]
+                    own = stats[2 * s:2 * s + 2] if s == 0 else stats[:2] + _unfold(stats[2 * s:2 * s + 2])
+                    c0 = seen - own[0]
+                    t0 = c0 - own[1]
                     all_c, all_t = per_sample[2 * s], per_sample[2 * s + 1]
                     parent = (c0 - PARENT_DISCOUNT * t0 + (PARENT_STRENGTH + PARENT_DISCOUNT * all_t) / (v + 1)) / (PARENT_STRENGTH + all_c)
                     t_u = np.append(first[s], start[s])
-                    p += (counts - DISCOUNT * tables[s] + (STRENGTH + DISCOUNT * t_u[context]) * parent[word]) / (STRENGTH + guests[context])
+                    p += (counts - DISCOUNT * tables + (STRENGTH + DISCOUNT * t_u[context]) * parent[word]) / (STRENGTH + guests[context])
                 logs = np.log10(p / SAMPLES)[which]
-                base = np.log10((stats[0] + 1) / (n + v + 1))[tokens]
+                base = np.log10((seen + 1) / (n + v + 1))[tokens]
                 ends = np.cumsum(sizes) - sizes
-                columns = [ids, [not l for l in learn], sizes, np.add.reduceat((stats[0] > 0).astype(np.int64)[tokens], ends), [int(n)] * len(ids), np.add.reduceat(base, ends), np.add.reduceat(logs, ends)]
+                columns = [ids, [not l for l in learn], sizes, np.add.reduceat((seen > 0).astype(np.int64)[tokens], ends), [int(n)] * len(ids), np.add.reduceat(base, ends), np.add.reduceat(logs, ends)]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
     totals_texts = totals[-1]
@@ -369,11 +461,29 @@ def _apply(totals: list[float], kind: pa.DataType):
     return run
 
 
+def _settled(df: DataFrame, label: str) -> DataFrame:
+    """``stored``, and the exchanges behind the rows leave the disk with them."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, "false")
+    conf.set(key, "true")
+    try:
+        return stored(df, label)
+    finally:
+        conf.set(key, before)
+
+
+def _totals(answers: DataFrame, n: int) -> list[float]:
+    """Sums over the parts of their ``n`` totals."""
+    sums = answers.filter("kind = 'total'").select(F.posexplode("total").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
+    return [r.x for r in sums] or [0.0] * n
+
+
 def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", shares: int | None = None) -> DataFrame:
     """Per row: doc_id, held_out (``learn`` is not true), n_tokens, n_known, train_tokens, base_score (add-one word
     frequencies) and score, both log10 probabilities of the text.
 
-    ``shares``: into how many the dishes are dealt, by default one per ``SHARE`` bytes of text; a task samples a share.
+    ``shares``: into how many the dishes are dealt, by default one per ``SHARE`` bytes of text; a task seats a share, given the
+    sums over all.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(learn, F.lit(False)).alias("learn"), F.col(text_col).cast("binary").alias("text"))
@@ -384,16 +494,36 @@ def score_texts(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col
     texts = stored(coded, "lm-texts")
     asked = texts.select("block", "learn", "sizes", "tokens", "words").mapInArrow(
         _requests(parts), "part int, block bigint, words binary, per_word binary, contexts binary, chosen binary, counts binary")
-    answers = stored(asked.repartition(parts, "part").mapInArrow(_learn(parts), _OUT), "lm-answers")
-    sums = answers.filter("kind = 'total'").select(F.posexplode("total").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
+    first = _settled(asked.repartition(parts, "part").mapInArrow(_learn(parts), _FIRST), "lm-counts")
+    owners = first.filter("kind = 'context'").select("part", "kind", "block", F.col("e").alias("a"), F.col("f").alias("b"), F.col("g").alias("c"))
+    states = first.filter("kind = 'state'").select("part", "kind", "block", F.col("e").alias("a"), F.col("f").alias("b"), F.col("g").alias("c"), F.col("h").alias("d"))
+    tokens, known, *sums = _totals(first, 4)
+    totals, sweeps = [tokens, known], []
+    for number in range(BURN_IN + SAMPLES):
+        given, mine = owners, states
+        if sweeps:
+            given = given.unionAll(sweeps[-1].filter("kind = 'more'").select(*owners.columns))
+            mine = mine.unionAll(sweeps[-1].filter("kind = 'tables'").select(*states.columns))
+        sent = given.repartition(parts, "part").mapInArrow(_part_wise(_sums), _SENT).select(*states.columns)
+        swept = mine.unionAll(sent).repartition(parts, "part").mapInArrow(_sweep(number, known, *sums), _SENT)
+        sweeps.append(_settled(swept, f"lm-sweep{number}"))
+        sums = _totals(sweeps[-1], 2)
+        totals += sums if number >= BURN_IN else []
     learned = texts.select(F.sum(F.size(F.filter("learn", lambda x: x)))).first()[0]
-    totals = [r.x for r in sums] + [float(learned or 0)] if sums else [0.0] * (3 + 2 * SAMPLES)
-    given = answers.filter("kind = 'context'").select("part", F.lit(None).cast("bigint").alias("block"), F.col("a").alias("keys"), F.col("b").alias("sums"))
-    wants = texts.select("block", "words").mapInArrow(_asks(parts), "part int, block bigint, keys binary, sums binary")
-    tables = given.unionAll(wants).repartition(parts, "part").mapInArrow(_context_tables(parts), _OUT)
-    replies = answers.filter("kind = 'block'").unionAll(tables)
+    totals.append(float(learned or 0))
+    # Rows of the samples carry the sample's number in their kind.
+    found = first.filter("kind = 'block'").select("part", "kind", "block", F.col("c").alias("a"), F.col("d").alias("b"), F.lit(None).cast("binary").alias("c"))
+    wants = owners.unionAll(texts.select("block", "words").mapInArrow(_asks(parts), "part int, kind string, block bigint, a binary, b binary, c binary"))
+    for s, sample in enumerate(sweeps[BURN_IN:]):
+        numbered = sample.withColumn("kind", F.concat("kind", F.lit(str(s)))).select(*owners.columns)
+        found = found.unionAll(numbered.filter(F.col("kind") == f"tables{s}"))
+        wants = wants.unionAll(numbered.filter(F.col("kind") == f"more{s}"))
+    pairs = _settled(found.repartition(parts, "part").mapInArrow(_part_wise(_seated), _SENT), "lm-pairs")
+    tables = _settled(wants.repartition(parts, "part").mapInArrow(_part_wise(_context_tables), _SENT), "lm-contexts")
+    columns = ["kind", "block", "part", "a", "b"]
+    replies = first.filter("kind = 'block'").select(*columns).unionAll(pairs.select(*columns)).unionAll(tables.select(*columns))
     home = F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block"))
-    gathered = replies.groupBy(home.alias("home")).agg(F.collect_list(F.struct("kind", "block", "part", "a", "b", "c")).alias("answers"))
+    gathered = replies.groupBy(home.alias("home")).agg(F.collect_list(F.struct("kind", "block", "part", "a", "b")).alias("answers"))
     joined = texts.join(gathered, texts["block"] == gathered["home"]).select("ids", "learn", "sizes", "tokens", "answers")
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     return joined.mapInArrow(_apply(totals, arrow), schema)

@@ -70,6 +70,45 @@ def test_seating_stays_within_bounds():
     assert M._unpack48(M._pack48(np.array([2**64 - 2**16, 2**16], np.uint64))).tolist() == [2**64 - 2**16, 2**16]
 
 
+def test_sweeps_see_all_tables_however_dishes_are_dealt(spark, monkeypatch):
+    """Seated without chance, scores follow from the tables alone: those of all parts, or they would change with the parts."""
+    def seat(counts, elsewhere, served, discount, strength, rnd):
+        odds = (strength + discount * elsewhere) * served
+        return 1 + ((counts - 1) * odds / (1 + odds)).astype("int64")
+
+    monkeypatch.setattr(M, "seat", seat)
+    rnd = random.Random(6)
+    say = lambda: " ".join(f"w{int(rnd.paretovariate(0.5)) % 60}" for _ in range(30))
+    texts = [None, "", "  ", *[say() for _ in range(150)]]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts + texts[:9])], "doc_id bigint, text string")
+    one, many = ({r.doc_id: r.score for r in M.score_texts(docs, F.col("doc_id") < 120, shares=n).collect()} for n in (1, 9))
+    assert len(one) == docs.count() and all(math.isclose(one[i], many[i], rel_tol=1e-12) for i in one)
+
+
+def test_a_sweep_seats_given_the_tables_of_others():
+    seen = []
+
+    def seat(counts, elsewhere, served, discount, strength, rnd):
+        seen.append((counts.tolist(), elsewhere.tolist(), np.round(served, 6).tolist()))
+        return np.minimum(counts, 2)
+
+    before, M.seat = M.seat, seat
+    try:
+        tables, guests, parent = M.sweep(
+            np.array([0, 1]), np.array([1, 0]), np.array([5, 2]), np.array([3, 0, 0]), np.array([4, 1]), np.array([2, 1, 0]), np.array([9, 70]), 10.0, 100.0, 20.0, None)
+    finally:
+        M.seat = before
+    # Tables elsewhere: 70 - 4 and 9 - 1 in the contexts, 20 - 2 and 20 - 1 in the parent; a word without training stays without tables.
+    served = [round((g - 0.7 * t + (10 + 0.7 * 20) / 11) / 110, 6) for g, t in ((7, 2), (1, 1))]
+    assert seen == [([5, 2], [66, 8], served), ([5, 2], [18, 19], [round(1 / 11, 6)] * 2)]
+    assert (tables.tolist(), guests.tolist(), parent.tolist()) == ([2, 2], [5, 2, 0], [2, 2, 0])
+
+
+def test_steps_and_numbers_come_back():
+    for a in ([], [0], [7, 3, 2**40, 5], list(range(300))):
+        assert M._unpack_steps(M._pack_steps(np.array(a, np.int64))).tolist() == a == M._unpack(M._pack(np.array(a, np.int64))).tolist()
+
+
 def test_no_rows_and_no_training(spark):
     docs = spark.createDataFrame([(1, "a b")], "doc_id bigint, text string")
     assert M.score_texts(docs.limit(0), F.lit(True)).count() == 0

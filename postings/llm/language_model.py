@@ -166,10 +166,23 @@ def _pairs(sizes: np.ndarray, tokens: np.ndarray, n_words: int) -> tuple[np.ndar
     return np.unique(tokens << 32 | before, return_inverse=True)
 
 
+def _batched(rows, names: list, types: list):
+    """Rows as record batches of about a megabyte: a batch for each of many short messages would cost more than their content."""
+    kept, size = [], 0
+    for row in rows:
+        kept.append(row)
+        size += 100 + sum(len(v) for v in row if isinstance(v, bytes))
+        if size >= CHUNK:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), types)], names)
+            kept, size = [], 0
+    if kept:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*kept), types)], names)
+
+
 def _requests(parts: int):
     """Per block and part: its words, contexts per word, the distinct contexts, which of them each pair has, and the
     training counts of the pairs."""
-    def run(batches):
+    def asked(batches):
         for batch in batches:
             for number, learn, sizes, packed, raw in zip(*(batch.column(i) for i in range(5))):
                 words, tokens = np.frombuffer(raw.as_py(), np.uint64), _unpack(packed.as_py())
@@ -186,12 +199,10 @@ def _requests(parts: int):
                         continue
                     per_word = np.bincount(word[x:y] - a, minlength=b - a)
                     listed, chosen = np.unique(context[x:y], return_inverse=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([p], pa.int32()), pa.array([number.as_py()]), pa.array([words[a:b].tobytes()]), pa.array([_pack(per_word)]),
-                         pa.array([_pack48(spelled[listed])]), pa.array([_pack(chosen)]), pa.array([_pack(seen[x:y])])],
-                        ["part", "block", "words", "per_word", "contexts", "chosen", "counts"])
+                    yield p, number.as_py(), words[a:b].tobytes(), _pack(per_word), _pack48(spelled[listed]), _pack(chosen), _pack(seen[x:y])
 
-    return run
+    types = [pa.int32(), pa.int64(), *[pa.binary()] * 5]
+    return lambda batches: _batched(asked(batches), ["part", "block", "words", "per_word", "contexts", "chosen", "counts"], types)
 
 
 def seat(counts: np.ndarray, elsewhere: np.ndarray, served: np.ndarray, discount: float, strength: float, rnd: np.random.Generator) -> np.ndarray:
@@ -252,9 +263,8 @@ def _part_wise(answer, width: int = 8):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 by_part.setdefault(row[0], []).append(row[1:])
         for part in sorted(by_part):
-            for row in answer(part, by_part.pop(part)):
-                row = [*row, *[None] * (width - len(row))]
-                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, _TYPES)], _NAMES[:width])
+            rows = ([*row, *[None] * (width - len(row))] for row in answer(part, by_part.pop(part)))
+            yield from _batched(rows, _NAMES[:width], _TYPES)
 
     return run
 
@@ -391,12 +401,7 @@ def _context_tables(part: int, rows: list):
 
 def _asks(parts: int):
     """Per block and part: the words whose tables as contexts it needs; the start token under a number below zero."""
-    def row(part: int, block: int, words: np.ndarray):
-        return pa.RecordBatch.from_arrays(
-            [pa.array([part], pa.int32()), pa.array(["want"]), pa.array([block]), pa.array([_pack48(words & _HIGH)]), *[pa.array([None], pa.binary())] * 2],
-            ["part", "kind", "block", "a", "b", "c"])
-
-    def run(batches):
+    def wanted(batches):
         start = np.array([START], np.uint64)
         for batch in batches:
             for number, raw in zip(*batch.columns):
@@ -404,10 +409,11 @@ def _asks(parts: int):
                 cuts = np.searchsorted(part_of(words, parts), np.arange(parts + 1))
                 for p in range(parts):
                     if cuts[p] < cuts[p + 1]:
-                        yield row(p, number.as_py(), words[cuts[p]:cuts[p + 1]])
-                yield row(int(part_of(start, parts)[0]), -1 - number.as_py(), start)
+                        yield p, "want", number.as_py(), _pack48(words[cuts[p]:cuts[p + 1]] & _HIGH), None, None
+                yield int(part_of(start, parts)[0]), "want", -1 - number.as_py(), _pack48(start), None, None
 
-    return run
+    types = [pa.int32(), pa.string(), pa.int64(), *[pa.binary()] * 3]
+    return lambda batches: _batched(wanted(batches), ["part", "kind", "block", "a", "b", "c"], types)
 
 
 def _apply(totals: list[float], kind: pa.DataType):

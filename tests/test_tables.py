@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from checks.compare import compare, connect
 from checks.registry import ORACLES, QUERIES
+from postings.functions import text as X
 from postings.operators.extraction import results_of, with_decoded_json
 from postings.operators import logs as H
 from postings.operators import normalize as N
@@ -280,6 +281,31 @@ def test_error_stream_shares_the_layout_and_prunes(spark):
     assert late.count() == 3 and "day" in plan(late).split("PartitionFilters: [")[1].split("]")[0]
 
 
+def test_lines_of_a_batch_are_read_once(spark):
+    """Sizes, rows and rejects of a batch begin at one shuffle, whatever few files its lines come from."""
+    root, seen = scratch_dir(spark, "dealt"), spark.sparkContext.accumulator(0)
+    lines = [dict(component="llm" if k % 5 else "?", stage="parse", error_type="timeout", domain="d", message=f"m{k}", severity="error", metadata={"k": k},
+                  stack_trace=f" at {k}\n" + "x " * 100 + "\n", created_at=f"2024-01-0{1 + k % 2}T00:00:00") for k in range(40)]
+    spark.createDataFrame([(json.dumps(x),) for x in lines], "value string").coalesce(1).write.option("compression", "gzip").text(f"{root}/in")
+
+    def note(domain):
+        seen.add(1)
+        return domain
+
+    noted = SL.read_error_stream(spark, f"{root}/in").withColumn("domain", F.udf(note, "string")("domain"))
+    SL.stream_error_logs(noted, f"{root}/log", f"{root}/cp").awaitTermination()
+    assert seen.value == 40
+    kept = {r.message: r.stack_trace for r in spark.read.parquet(f"{root}/log").collect()}
+    assert kept == {f"m{k}": f"at {k}\n" + "x " * 99 + "x" for k in range(40) if k % 5}
+    assert spark.read.parquet(f"{root}/log_rejected").count() == 8
+
+
+def test_long_texts_are_trimmed_like_short_ones(spark):
+    texts = [a + m * n + a for a in ("", " ", "\n" * 70, "\u3000\u2003" * 25, "\x85 ") for m in ("", "x", "é €", "😀\n", "\u2000\u0080") for n in (1, 7, 21, 64, 500)]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    assert rows.filter(~X.strip(F.col("t")).cast("binary").eqNullSafe(X.strip_long(F.col("t")).cast("binary"))).count() == 0
+
+
 def test_extraction_asks_once(spark):
     root = scratch_dir(spark, "ask")
 

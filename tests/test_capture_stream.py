@@ -91,6 +91,19 @@ def test_many_files_are_listed_by_folder(spark):
     assert int(spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")) < 300
 
 
+def test_pages_are_listed_once_and_clock_ticks_are_not_kept(spark):
+    root = scratch_dir(spark, "listed-once")
+    for k in range(6):
+        put(root, f"in/e.com/reduced_focus/{k}.html", f"<p>é{k}</p>")
+    put(root, "in/e.com/meta/0.json", '{"url": "https://e.com/0", "title": "T"}')
+    query = SC.capture_stream(spark, f"{root}/in").writeStream.format("parquet").option("path", f"{root}/out").option(
+        "checkpointLocation", f"{root}/cp").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert [tuple(r) for r in spark.read.parquet(f"{root}/out").collect()] == [("e.com", "0", "<p>é0</p>", "https://e.com/0", "T")]
+    assert len(os.listdir(f"{root}/cp/sources")) == 2  # pages and sidecars
+    assert query.lastProgress.stateOperators[0].numRowsTotal == 7
+
+
 def test_parts_of_long_pages_become_one_page(spark):
     rows = [(1, 0, '{"page_title": "One", "jobs": [{"title": "A", "job_url": "/a"}, {"title": "B", "job_url": "/b"}]}'),
             (1, 1, '{"page_title": "Two", "jobs": [{"title": "B", "job_url": "/B", "company": "C"}, {"title": "D", "job_url": "/d"}]}'),

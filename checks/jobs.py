@@ -15,7 +15,7 @@ from postings.operators import normalize as N
 from postings.operators import upsert as G
 from postings.operators.urls import incomplete_urls
 from postings.schemas import JOBS
-from postings.session import scratch_dir
+from postings.session import exchanges_leave, scratch_dir
 from postings.sources.job_table import append_jobs, read_jobs, replace_jobs
 
 # A rare flag on line items, so that some pages are hit and others are not.
@@ -210,7 +210,8 @@ def g08b(spark, sf):
     root = scratch_dir(spark, "job-table")
     replace_jobs(_current(spark, sf), root, buckets=16)
     incoming = scratch_dir(spark, "job-batch")
-    G.dedupe_batch(_records(spark, sf, "O")[0]).write.parquet(incoming)
+    with exchanges_leave(spark):
+        G.dedupe_batch(_records(spark, sf, "O")[0]).write.parquet(incoming)
     for part in range(5):
         append_jobs(spark.read.parquet(incoming).filter(F.pmod(F.crc32("job_url"), F.lit(5)) == part), root, AS_OF, tag=f"batch-{part}", max_deltas=3)
     return read_jobs(spark, root).select(*_UPSERTED)

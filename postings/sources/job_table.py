@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from postings.operators.upsert import dedupe_batch
 from postings.schemas import JOBS
+from postings.session import exchanges_leave
 from postings.sources.tables import _hadoop, _snapshots, path_exists, snapshot_versions, write_snapshot
 
 #: Buckets of a new table: a few thousand for a large one, since the driver lists them; a bucket may hold many files.
@@ -88,7 +89,8 @@ def _write(rows: DataFrame, root: str, seq: int) -> tuple[str, list[int]]:
     spark, commit = rows.sparkSession, uuid.uuid4().hex
     placed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOBS.fields], "bucket")
     path = f"{root}/data/seq={seq}/commit={commit}"
-    placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
+    with exchanges_leave(spark):  # else those of all commits lie there at once
+        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(path)
     target, fs = _hadoop(spark, path)
     names = [s.getPath().getName() for s in fs.listStatus(target)]
     return commit, sorted(int(n.removeprefix("bucket=")) for n in names if n.startswith("bucket="))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -103,3 +104,17 @@ def test_empty_tables_and_batches(spark):
     assert sorted((r.job_url or "", r.title) for r in J.read_jobs(spark, root).collect()) == [("", "t"), ("https://d/2", "t")]
     with pytest.raises(ValueError, match="no version 9"):
         J.read_jobs(spark, root, 9)
+
+
+def test_exchanges_of_a_commit_leave_the_disk(spark):
+    """Neither a batch nor a merge of buckets leaves shuffle files behind."""
+    root, folders = scratch_dir(spark, "job-table"), spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    shuffled = lambda: {f for top in folders for d, _, names in os.walk(top) for f in names if f.startswith("shuffle_")}
+    before = shuffled()
+    for k in range(3):
+        J.append_jobs(records(spark, [(f"https://d/{i}", f"t{k}", None, None) for i in range(20)]), root, DAY, buckets=4, max_deltas=1)
+    for _ in range(5):  # they go in the background
+        if not (left := shuffled() - before):
+            break
+        time.sleep(0.2)
+    assert not left and J.read_jobs(spark, root).count() == 20
